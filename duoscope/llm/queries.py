@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from duoscope.llm import mixing, secrets, shards, url_rules
+from duoscope.llm import mixing, near_dedup, secrets, shards, url_rules
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_mixing": mixing.op2_mixing,
         "op3_secrets": secrets.op3_secrets,
         "op7_shards": shards.op7_shards,
+        "op9_near_dedup": near_dedup.op9_near_dedup,
         "op10_url_rules": url_rules.op10_url_rules,
     }
 
