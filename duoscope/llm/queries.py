@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from duoscope.llm import decontaminate, mixing, near_dedup, secrets, shards, url_rules
+from duoscope.llm import crf_quality, decontaminate, mixing, near_dedup, secrets, shards, url_rules
 
 
 def queries() -> dict:
     return {
         "op2_mixing": mixing.op2_mixing,
         "op3_secrets": secrets.op3_secrets,
+        "op5_quality": crf_quality.op5_quality,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_shards": shards.op7_shards,
         "op9_near_dedup": near_dedup.op9_near_dedup,
