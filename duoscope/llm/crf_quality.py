@@ -66,6 +66,15 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     w_starts, w_ends, _ = word_spans(data, offsets, SPACED)
     words = np.bincount(line_of[w_starts], minlength=n) if len(w_starts) else np.zeros(n)
     long_words = np.bincount(line_of[w_starts], weights=(w_ends - w_starts) > 14, minlength=n) if len(w_starts) else np.zeros(n)
+    # Words that repeat the word before them, and words that stand in their line already.
+    w_hashes, w_lines = word_hashes(data, w_starts, w_ends, SPACED), line_of[w_starts]
+    stutter = np.zeros(n)
+    if len(w_hashes) > 1:
+        same = (w_hashes[1:] == w_hashes[:-1]) & (w_lines[1:] == w_lines[:-1])
+        stutter = np.bincount(w_lines[1:], weights=same, minlength=n)
+    places = np.unique(mix64(w_hashes ^ mix64(w_lines.astype(np.uint64))), return_index=True)[1]
+    distinct = np.bincount(w_lines[places], minlength=n) if len(places) else np.zeros(n)
+    stutter, distinct = stutter / np.maximum(words, 1), distinct / np.maximum(words, 1)
     # A line that stands more than once in its row.
     hashes = np.zeros(n, np.uint64)
     l_starts, l_ends, _ = word_spans(data, offsets, _LINE)
@@ -78,11 +87,13 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
         np.log1p(chars) / 5,
         chars / np.maximum(words, 1) / 10 * (words > 0),
         long_words / np.maximum(words, 1),
+        np.sqrt(stutter),
+        distinct,
         again,
         lengths == 0,
     ]).astype(np.float32)
     gist = np.column_stack([
-        share[:, :_N].max(axis=1), share[:, UPPER], share[:, DIGIT], np.log1p(chars) / 5, again, np.ones(n)
+        share[:, :_N].max(axis=1), share[:, UPPER], share[:, DIGIT], np.log1p(chars) / 5, stutter, again, np.ones(n)
     ]).astype(np.float32)
     before, after = np.zeros_like(gist), np.zeros_like(gist)
     before[1:], after[:-1] = gist[:-1], gist[1:]
