@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from duoscope.llm import crf_quality, decontaminate, mixing, near_dedup, secrets, shards, url_rules
+from duoscope.llm import (
+    crf_quality, decontaminate, mixing, near_dedup, secrets, shards, token_files, url_rules,
+)
 
 
 def queries() -> dict:
@@ -12,6 +14,7 @@ def queries() -> dict:
         "op5_quality": crf_quality.op5_quality,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_shards": shards.op7_shards,
+        "op8_token_files": token_files.op8_token_files,
         "op9_near_dedup": near_dedup.op9_near_dedup,
         "op10_url_rules": url_rules.op10_url_rules,
     }
