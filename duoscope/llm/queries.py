@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from duoscope.llm import (
-    crf_quality, decontaminate, mixing, near_dedup, secrets, shards, token_files, url_rules,
+    crf_quality, decontaminate, language_id, mixing, near_dedup, secrets, shards, token_files, url_rules,
 )
 
 
 def queries() -> dict:
     return {
+        "op1_language_id": language_id.op1_language_id,
         "op2_mixing": mixing.op2_mixing,
         "op3_secrets": secrets.op3_secrets,
         "op5_quality": crf_quality.op5_quality,
