@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from duoscope.llm import (
-    crf_quality, decontaminate, language_id, mixing, near_dedup, secrets, shards, token_files, url_rules,
+    crf_quality, decontaminate, language_id, mixing, near_dedup, order_minhash, secrets, shards,
+    token_files, url_rules,
 )
 
 
@@ -12,6 +13,7 @@ def queries() -> dict:
         "op1_language_id": language_id.op1_language_id,
         "op2_mixing": mixing.op2_mixing,
         "op3_secrets": secrets.op3_secrets,
+        "op4_order_minhash": order_minhash.op4_order_minhash,
         "op5_quality": crf_quality.op5_quality,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_shards": shards.op7_shards,
