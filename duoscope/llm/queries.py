@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from duoscope.llm import (
     crf_quality, decontaminate, language_id, mixing, near_dedup, order_minhash, secrets, shards,
     token_files, url_rules,
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op8_token_files": token_files.op8_token_files,
         "op9_near_dedup": near_dedup.op9_near_dedup,
         "op10_url_rules": url_rules.op10_url_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
