@@ -42,9 +42,9 @@ def safe_path_component(value: Column, reserved: Sequence[str] = C.RESERVED_NAME
 
 
 def safe_url(url: Column, schemes: Sequence[str] = URL_SCHEMES) -> Column:
-    """True for an allowed scheme with a host name."""
-    scheme = F.lower(F.try_parse_url(url, F.lit("PROTOCOL")))
-    host = F.try_parse_url(url, F.lit("HOST"))
+    """True for an allowed scheme with a host; what the host looks like is not judged."""
+    scheme = F.lower(F.regexp_extract(url, r"\A([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    host = F.regexp_extract(url, r"\A[^:/]*://([^/?#]*)", 1)
     return F.coalesce(scheme.isin(*schemes) & (host != ""), F.lit(False))
 
 
@@ -75,11 +75,10 @@ def expected_provider(arm: Column, providers: Mapping[str, str]) -> Column:
 def identity_matches(
     models: Column, provider: Column, keywords: Mapping[str, Sequence[str]] = C.IDENTITY_KEYWORDS
 ) -> Column:
-    """True when the models name the expected provider; unknown providers always match."""
-    chain = None
+    """True when the models name the expected provider; other providers always match, no models never do."""
+    chain = F.when(models.isNull() | (F.size(models) == 0), False)
     for name, words in keywords.items():
-        hit = mentions(models, words)
-        chain = F.when(provider == name, hit) if chain is None else chain.when(provider == name, hit)
+        chain = chain.when(provider == name, mentions(models, words))
     return chain.otherwise(F.lit(True))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duoscope import constants as C
 
+# Marks of cut text.
 MIDDLE_CUT = "\n\n[... truncated ...]\n\n"
 SUMMARY_CUT = "\n\n[... 轨迹中段省略 ...]\n\n"
 
@@ -19,13 +20,21 @@ META_PREFIX = r"\[__claude_meta:"
 TIER = r"(?U)(?<!\d)([1-5])\s*分\s*[：:]"
 
 
+#: Characters that count as white space at the ends of a text.
+BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(text: Column) -> Column:
-    """Remove white space, line breaks included, from both ends."""
-    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    """Remove white space, line breaks included, from both ends, in one pass over each end."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_kind(variant: Column, kind: str) -> Column:
     """True when a VARIANT holds an ``OBJECT``, ``ARRAY`` or ``STRING``."""
+    if kind == "ARRAY":
+        return F.coalesce(F.try_variant_get(variant, "$", "array<variant>").isNotNull(), F.lit(False))
+    if kind == "OBJECT":
+        return F.coalesce(F.try_variant_get(variant, "$", "map<string,variant>").isNotNull(), F.lit(False))
     return F.coalesce(F.schema_of_variant(variant).startswith(kind), F.lit(False))
 
 
@@ -57,20 +66,28 @@ def head_tail(text: Column, budget: int, head_share: float = 0.3, marker: str =
     return F.when(F.length(text) > budget, cut).otherwise(text)
 
 
+# Fixed value: code fence around an answer.
+FENCE = "```"
+
+
 def clean_output(raw: Column) -> Column:
-    """Drop meta lines, leading headings and code fences around an answer."""
+    """Drop meta lines, leading headings and code fences around an answer.
+
+    Leading lines go in one possessive match each, which needs no stack however
+    many there are.
+    """
     body = strip(raw)
-    body = F.regexp_replace(body, rf"\A(?:{META_PREFIX}[^\n]*\n\s*)+", "")
-    body = F.regexp_replace(body, r"\A(?:# [^\n]*\n\s*)+", "")
-    unfenced = F.regexp_replace(
-        F.regexp_replace(body, r"\A```[^\n]*(?:\n|\z)", ""), r"(?:\A|\n)[ \t]*```[ \t]*\z", ""
-    )
-    inner = r"(?s)```(?:toml)?\s*\n(.*?)```"
-    return (
-        F.when(body.startswith("```"), unfenced)
-        .when(body.rlike(inner), strip(F.regexp_extract(body, inner, 1)))
-        .otherwise(body)
-    )
+    body = F.regexp_replace(body, rf"\A(?>(?:{META_PREFIX}[^\n]*+\n\s*+)++)", "")
+    body = F.regexp_replace(body, r"\A(?>(?:# [^\n]*+\n\s*+)++)", "")
+    at_end = F.when(F.right(strip(body), F.lit(3)) == FENCE, strip(F.left(strip(body), F.length(strip(body)) - 3))).otherwise(body)
+    opened = F.instr(at_end, "\n")
+    unfenced = F.when(opened > 0, F.substring(at_end, opened + 1, F.length(at_end))).otherwise(F.lit(""))
+    parts = F.split(body, FENCE, 3)
+    inner = F.get(parts, F.lit(1))
+    first_line = F.substring_index(inner, "\n", 1)
+    content = F.substring(inner, F.length(first_line) + 2, F.length(inner))
+    has_block = (F.size(parts) == 3) & F.contains(inner, F.lit("\n")) & strip(first_line).isin("", "toml")
+    return F.when(F.startswith(body, F.lit(FENCE)), unfenced).when(has_block, strip(content)).otherwise(body)
 
 
 def _find(text: Column, needle: str) -> Column:
@@ -83,11 +100,11 @@ def toml_section(raw: Column, markers: Sequence[str] = C.BAD_PATTERN_MARKERS) ->
     cut = None
     for marker in markers:
         at = _find(body, marker)
-        part = F.rtrim(F.left(body, at - 1))
+        part = strip(F.left(body, at - 1))
         cut = F.when(at > 1, part) if cut is None else cut.when(at > 1, part)
     body = cut.otherwise(body)
     start = F.instr(body, "[[criterion]]")
-    has_preface = ~F.ltrim(body).startswith("[[") & (start > 0)
+    has_preface = ~strip(body).startswith("[[") & (start > 0)
     return F.when(has_preface, F.substring(body, start, F.length(body))).otherwise(body)
 
 
@@ -96,8 +113,13 @@ def bad_pattern_label(
     patterns: Sequence[str] = tuple(C.BAD_PATTERNS),
     markers: Sequence[str] = C.BAD_PATTERN_MARKERS,
     none_words: Sequence[str] = C.BAD_PATTERN_NONE,
+    none_within: int = 120,
 ) -> Column:
-    """First known pattern named after the marker, or an empty string."""
+    """First known pattern named after the marker, or an empty string.
+
+    A "none" word counts only in the section's first ``none_within`` characters (the rule
+    of the label format); patterns are looked for in the whole section.
+    """
     body = clean_output(raw)
     section = F.coalesce(
         *[
@@ -105,7 +127,7 @@ def bad_pattern_label(
             for m in markers
         ]
     )
-    head = F.left(section, F.lit(120))
+    head = F.left(section, F.lit(none_within))
     none_said = F.exists(F.array(*[F.lit(w) for w in none_words]), lambda w: F.contains(head, w))
     hits = F.filter(F.array(*[F.lit(p) for p in patterns]), lambda p: F.contains(section, p))
     return F.when(section.isNull() | none_said, F.lit("")).otherwise(
@@ -121,7 +143,7 @@ def has_score_tiers(description: Column) -> Column:
     long_enough = F.forall(
         bodies, lambda b: F.length(F.regexp_replace(strip(b), r"[。.，,]+\z", "")) >= 5
     )
-    return (F.size(tiers) == 5) & long_enough
+    return F.coalesce((F.size(tiers) == 5) & long_enough, F.lit(False))
 
 
 def keyword_hits(text: Column, words: Sequence[str]) -> Column:

@@ -1,12 +1,14 @@
 """Order-dependent operators that never bring a whole key into one task.
 
 A plain ``row_number() OVER (PARTITION BY key ORDER BY pos)`` sorts all rows of
-a key in one task, which a hot key cannot afford. Here the order column is cut
-into chunks of ``width`` positions: the window runs per (key, chunk), and what
-earlier chunks contribute comes from one small summary row per chunk. The join
-with the summaries reuses the window's partitioning, so rows are shuffled once.
-
-The first order column must be a non-negative whole number.
+a key in one task, which a hot key cannot afford. Here the rows are dealt into
+parts by ranges of (key, order) and written once, so a hot key lies in as many
+parts as it needs, whatever its order values look like. A window runs inside
+each (key, part); what earlier parts contribute comes from one small summary
+row per key and part.
+
+``order`` holds column names or sort expressions and must tell all rows of a key apart, or rows that
+tie are ordered arbitrarily (but once and for all).
 """
 
 from __future__ import annotations
@@ -17,90 +19,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-WIDTH = 1 << 20
+from duoscope.storage import stored
 
-_KEY, _CHUNK, _LOCAL, _CARRY = "_key", "_chunk", "_local", "_carry"
+_KEY, _PART, _LOCAL, _CARRY = "_key", "_part", "_local", "_carry"
 
 
-def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int) -> DataFrame:
+def _parted(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     # A struct key compares NULL fields as equal, so rows with NULL keys are kept.
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    chunk = F.floor(F.col(order[0]).cast("bigint") / F.lit(width)).cast("bigint")
-    return df.withColumn(_KEY, key).withColumn(_CHUNK, F.coalesce(chunk, F.lit(-1)))
-
-
-def _carried(base: DataFrame, summary: Column, carry: Column) -> DataFrame:
-    earlier = W.partitionBy(_KEY).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        base.groupBy(_KEY, _CHUNK)
-        .agg(summary.alias("_summary"))
-        .select(_KEY, _CHUNK, carry.over(earlier).alias(_CARRY))
-    )
+    parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn(_KEY, key).repartitionByRange(parts, _KEY, *order)
+    return stored(dealt.withColumn(_PART, F.spark_partition_id()), "ordered")
 
 
 def _combine(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    width: int,
-    local: Column,
-    frame_needed: bool,
-    summary: Column,
-    carry: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+    local: Column, strictly_before: bool, summary: Column, carry: Column,
 ) -> DataFrame:
-    base = _chunked(df, keys, order, width)
-    inside = W.partitionBy(_KEY, _CHUNK).orderBy(*order)
-    if frame_needed:
+    base = _parted(df, keys, order)
+    inside = W.partitionBy(_KEY, _PART).orderBy(*order)
+    if strictly_before:
         inside = inside.rowsBetween(W.unboundedPreceding, -1)
-    return base.withColumn(_LOCAL, local.over(inside)).join(
-        _carried(base, summary, carry), [_KEY, _CHUNK]
+    earlier = W.partitionBy(_KEY).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    carried = (
+        base.groupBy(_KEY, _PART).agg(summary.alias("_summary"))
+        .select(_KEY, _PART, carry.over(earlier).alias(_CARRY))
     )
+    return base.withColumn(_LOCAL, local.over(inside)).join(carried, [_KEY, _PART])
 
 
-def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, width: int = WIDTH
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str) -> DataFrame:
     """Number the rows of every key from 1 in ``order``; column ``out``."""
-    joined = _combine(
-        df, keys, order, width,
-        F.row_number(), False,
-        F.count(F.lit(1)), F.sum("_summary"),
-    )
+    joined = _combine(df, keys, order, F.row_number(), False, F.count(F.lit(1)), F.sum("_summary"))
     number = (F.col(_LOCAL) + F.coalesce(_CARRY, F.lit(0))).cast("bigint")
     return joined.select(*df.columns, number.alias(out))
 
 
 def running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    out: str,
-    width: int = WIDTH,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, out: str
 ) -> DataFrame:
     """Sum of ``value`` over the earlier rows of the key (0 for the first row)."""
-    joined = _combine(
-        df, keys, order, width,
-        F.sum(value), True,
-        F.sum(value), F.sum("_summary"),
-    )
+    joined = _combine(df, keys, order, F.sum(value), True, F.sum(value), F.sum("_summary"))
     total = F.coalesce(_LOCAL, F.lit(0)) + F.coalesce(_CARRY, F.lit(0))
     return joined.select(*df.columns, total.alias(out))
 
 
-def last_seen(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    out: str,
-    width: int = WIDTH,
-) -> DataFrame:
+def last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """Latest non-null ``value`` among the earlier rows of the key (as-of lookup)."""
     newest = F.max(F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_v"))))
     joined = _combine(
-        df, keys, order, width,
-        F.last(value, ignorenulls=True), True,
-        newest["_v"], F.last("_summary", ignorenulls=True),
+        df, keys, order, F.last(value, ignorenulls=True), True, newest["_v"], F.last("_summary", ignorenulls=True),
     )
     return joined.select(*df.columns, F.coalesce(_LOCAL, _CARRY).alias(out))
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The first row of every key, as one aggregation that combines before the shuffle."""
+    least = F.min(F.struct(*order, *[v for v in values if v not in order])).alias("_first")
+    return df.groupBy(*keys).agg(least).select(*keys, *[F.col(f"_first.{v}").alias(v) for v in values])

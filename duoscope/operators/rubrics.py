@@ -1,4 +1,4 @@
-"""Rubric rows to pass rates and verdicts. One aggregation serves all of them."""
+"""Rubric rows to pass rates and verdicts. One hash aggregation serves all of them."""
 
 from __future__ import annotations
 
@@ -13,103 +13,75 @@ from duoscope.settings import LIMITS, Limits
 
 KEYS = ("task_id", "arm")
 
+# What a rubric row without the field has.
+ROW_DEFAULTS = {"type": "likert", "points": 5, "weight": 1.0, "score": 0, "rationale": ""}
 
-def _only(condition: Column, value: Column) -> Column:
-    return F.when(condition, value)
+
+def with_defaults(criteria: DataFrame) -> DataFrame:
+    """Fill absent fields of rubric rows, so every later test is true or false."""
+    filled = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in ROW_DEFAULTS.items() if c in criteria.columns}
+    return criteria.withColumns(filled)
 
 
 def pass_rates(criteria: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Weighted pass rate per rubric; NULL when the total of points is not positive."""
     points = F.sum(F.col("points") * F.col("weight"))
-    return criteria.groupBy(*keys).agg(
+    return with_defaults(criteria).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_criteria"),
         F.when(points > 0, F.sum(F.col("score") * F.col("weight")) / points).alias("passrate"),
     )
 
 
 def rubric_facts(criteria: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """All that later rules need to know about a rubric, in one aggregation."""
-    score, rationale = F.col("score"), F.coalesce("rationale", F.lit(""))
+    """All that later rules need to know about a rubric, in one aggregation of fixed-width values."""
+    score, silent = F.col("score"), F.col("rationale") == ""
     in_range = score.between(1, 5)
-    explained = rationale != ""
-    complete = in_range & (F.col("points") == 5) & (F.col("type") == "likert") & explained
-    first_bad = F.min_by(
-        _only(~in_range, F.struct("name", "score")), _only(~in_range, F.col("pos"))
-    )
-    first_silent = F.min_by(_only(~explained, F.col("name")), _only(~explained, F.col("pos")))
+    full = in_range & (F.col("points") == 5) & (F.col("type") == "likert") & ~silent
     points = F.sum(F.col("points") * F.col("weight"))
-    return criteria.groupBy(*keys).agg(
+    described = [F.bool_and(F.coalesce(has_score_tiers(F.col("description")), F.lit(False))).alias("has_custom_descriptions")]
+    return with_defaults(criteria).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_criteria"),
-        F.bool_and((score == 0) & ~explained).alias("is_unscored"),
-        F.bool_and(complete).alias("rows_complete"),
-        F.count_if(in_range & explained).alias("n_scored"),
+        F.bool_and((score == 0) & silent).alias("is_unscored"),
+        F.bool_and(full).alias("rows_complete"),
+        F.count_if(in_range & ~silent).alias("n_scored"),
         F.bool_and(valid_criterion_name(F.col("name"))).alias("names_valid"),
-        F.bool_and(has_score_tiers(F.col("description"))).alias("has_custom_descriptions"),
-        first_bad["name"].alias("bad_score_name"),
-        first_bad["score"].alias("bad_score"),
-        first_silent.alias("no_rationale_name"),
+        F.min(F.when(~in_range, F.col("pos"))).alias("bad_score_pos"),
+        F.min(F.when(silent, F.col("pos"))).alias("no_rationale_pos"),
         F.when(points > 0, F.sum(score * F.col("weight")) / points).alias("raw_passrate"),
+        *(described if "description" in criteria.columns else []),
     )
 
 
 def is_complete(limits: Limits = LIMITS) -> Column:
     """Complete rubric: right number of rows and every row fully scored."""
-    n = F.col("n_criteria")
-    return n.between(limits.min_criteria, limits.max_criteria) & F.col("rows_complete")
+    return F.col("n_criteria").between(limits.min_criteria, limits.max_criteria) & F.col("rows_complete")
 
 
 def rubric_verdict(facts: DataFrame, limits: Limits = LIMITS, check_names: bool = False) -> DataFrame:
-    """Add ``reason`` (first failing check or NULL), ``detail`` and ``passrate``.
-
-    A fact row without criteria counts as a missing score unless its ``error``
-    column, if there is one, says that the text could not be read or was empty.
-    """
+    """Add ``reason`` (first failing check or NULL), the position it points at, and ``passrate``."""
     n = F.col("n_criteria")
-    error = F.col("error") if "error" in facts.columns else F.lit(None).cast("string")
     checks = [
-        ("unreadable", error.isNotNull() & (error != "empty"), error),
-        ("empty", error == "empty", F.lit("")),
-        ("missing", n.isNull() | (n == 0), F.lit("")),
-        ("unscored", F.col("is_unscored"), F.lit("")),
-        (
-            "wrong_count",
-            ~n.between(limits.min_criteria, limits.max_criteria),
-            F.concat(
-                n.cast("string"),
-                F.lit(f" (expected {limits.min_criteria}-{limits.max_criteria})"),
-            ),
-        ),
-        (
-            "score_out_of_range",
-            F.col("bad_score_name").isNotNull(),
-            F.concat_ws(" in ", F.col("bad_score").cast("string"), "bad_score_name"),
-        ),
-        ("no_rationale", F.col("no_rationale_name").isNotNull(), F.col("no_rationale_name")),
-        (
-            "incomplete",
-            ~F.col("rows_complete"),
-            F.concat_ws("/", F.col("n_scored").cast("string"), n.cast("string")),
-        ),
+        ("missing", n.isNull() | (n == 0), None),
+        ("unscored", F.col("is_unscored"), None),
+        ("wrong_count", ~n.between(limits.min_criteria, limits.max_criteria), None),
+        ("score_out_of_range", F.col("bad_score_pos").isNotNull(), F.col("bad_score_pos")),
+        ("no_rationale", F.col("no_rationale_pos").isNotNull(), F.col("no_rationale_pos")),
+        ("incomplete", ~F.col("rows_complete"), None),
     ]
     if check_names:
-        checks.append(("invalid_name", ~F.col("names_valid"), F.lit("")))
-    checks.append(("no_points", F.col("raw_passrate").isNull(), F.lit("")))
-    reason = detail = None
-    for name, failed, text in checks:
+        checks.append(("invalid_name", ~F.col("names_valid"), None))
+    checks.append(("no_points", F.col("raw_passrate").isNull(), None))
+    none = F.lit(None).cast("bigint")
+    reason = at = None
+    for name, failed, place in checks:
+        place = none if place is None else place
         reason = F.when(failed, name) if reason is None else reason.when(failed, name)
-        detail = F.when(failed, text) if detail is None else detail.when(failed, text)
-    return (
-        facts.withColumn("reason", reason)
-        .withColumn("detail", detail)
-        .withColumn("passrate", F.when(F.col("reason").isNull(), F.round("raw_passrate", 4)))
+        at = F.when(failed, place) if at is None else at.when(failed, place)
+    return facts.withColumns({"reason": reason, "at_pos": at.cast("bigint")}).withColumn(
+        "passrate", F.when(F.col("reason").isNull(), F.round("raw_passrate", 4))
     )
 
 
-def rubric_listing(verdicts: DataFrame, file: str = "file_path") -> DataFrame:
-    """One line per rubric file with its pass rate or the reason why there is none."""
-    return verdicts.select(file, "passrate", "reason", F.col("reason").isNotNull().alias("has_issue"))
-
-
 def any_issue(verdicts: DataFrame) -> DataFrame:
     """One row: True when any rubric has no pass rate (the strict flag)."""
     return verdicts.agg(
@@ -142,11 +114,5 @@ def names_match(criteria: DataFrame, expected: DataFrame, keys: Sequence[str] =
     """Per rubric: is its set of names the expected set? ``expected`` has keys and ``name``."""
     has = criteria.select(*keys, "name", F.lit(1).alias("found"), F.lit(0).alias("wanted"))
     want = expected.select(*keys, "name", F.lit(0).alias("found"), F.lit(1).alias("wanted"))
-    per_name = (
-        has.unionByName(want)
-        .groupBy(*keys, "name")
-        .agg(F.max("found").alias("found"), F.max("wanted").alias("wanted"))
-    )
-    return per_name.groupBy(*keys).agg(
-        F.bool_and(F.col("found") == F.col("wanted")).alias("names_match")
-    )
+    per_name = has.unionByName(want).groupBy(*keys, "name").agg(F.max("found").alias("found"), F.max("wanted").alias("wanted"))
+    return per_name.groupBy(*keys).agg(F.bool_and(F.col("found") == F.col("wanted")).alias("names_match"))
