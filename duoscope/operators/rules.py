@@ -40,13 +40,20 @@ def all_issues(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.union(b), parts)
 
 
+def mean4(value: str):
+    """Mean of 4-decimal values, rounded half up to 4 decimals in whole numbers, so that no sum's order matters."""
+    units = F.round(F.col(value) * 10000).cast("bigint")
+    total, n = F.sum(units), F.count(units)
+    return F.floor((2 * total + n) / (2 * n)) / 10000
+
+
 def group_stats(records: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Statistics by each field for itself, in one aggregation over grouping sets."""
     sets = [[F.col(f)] for f in fields]
     grouped = records.groupingSets(sets, *fields).agg(
         F.count(F.lit(1)).alias("n_tasks"),
         *[F.grouping(f).alias(f"_{f}") for f in fields],
-        F.round(F.avg("baseline_passrate"), 4).alias("baseline_mean"), F.round(F.avg("candidate_passrate"), 4).alias("candidate_mean"),
+        mean4("baseline_passrate").alias("baseline_mean"), mean4("candidate_passrate").alias("candidate_mean"),
         F.min("candidate_passrate").alias("candidate_min"), F.max("candidate_passrate").alias("candidate_max"),
         F.count_if("threshold_ok").alias("n_threshold_ok"),
     )
@@ -65,7 +72,7 @@ def batch_summary(records: DataFrame) -> DataFrame:
     """One row: tasks, passed tasks and the range of both arms' pass rates."""
     stats = [
         s for arm in ("baseline", "candidate") for c in [F.col(f"{arm}_passrate")]
-        for s in (F.min(c).alias(f"{arm}_min"), F.max(c).alias(f"{arm}_max"), F.round(F.avg(c), 4).alias(f"{arm}_mean"), F.count(c).alias(f"{arm}_count"))
+        for s in (F.min(c).alias(f"{arm}_min"), F.max(c).alias(f"{arm}_max"), mean4(f"{arm}_passrate").alias(f"{arm}_mean"), F.count(c).alias(f"{arm}_count"))
     ]
     return records.agg(
         F.count(F.lit(1)).alias("n_tasks"), F.count_if("export_ok").alias("n_passed"), F.count_if("threshold_ok").alias("n_threshold_ok"), *stats

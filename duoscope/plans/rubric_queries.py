@@ -214,12 +214,12 @@ QUERIES = {
         count(*) FILTER (d > 0) AS positive, count(*) FILTER (d < 0) AS negative, count(*) FILTER (d = 0) AS tie FROM u WHERE d IS NOT NULL HAVING count(*) > 0"""),
     "group_stats": (group_stats, f"""WITH {_FULL}, g AS (SELECT CASE WHEN grouping(task_type) = 0 THEN 'task_type' WHEN grouping(domain) = 0 THEN 'domain' ELSE 'language' END AS field,
           coalesce(CASE WHEN grouping(task_type) = 0 THEN task_type WHEN grouping(domain) = 0 THEN domain ELSE language END, '') AS value, count(*) AS n_tasks,
-          avg(baseline_passrate) AS bm, avg(candidate_passrate) AS cm, min(candidate_passrate) AS cmin, max(candidate_passrate) AS cmax, count(*) FILTER (threshold_ok) AS n_ok
+          (2 * sum(round(baseline_passrate * 10000)::BIGINT)::BIGINT + count(baseline_passrate)) // (2 * count(baseline_passrate)) / 10000.0::DOUBLE AS bm, (2 * sum(round(candidate_passrate * 10000)::BIGINT)::BIGINT + count(candidate_passrate)) // (2 * count(candidate_passrate)) / 10000.0::DOUBLE AS cm, min(candidate_passrate) AS cmin, max(candidate_passrate) AS cmax, count(*) FILTER (threshold_ok) AS n_ok
         FROM records_full GROUP BY GROUPING SETS ((task_type), (domain), (language)))
-        SELECT field, value, n_tasks, round(bm, 4) AS baseline_mean, round(cm, 4) AS candidate_mean, cmin AS candidate_min, cmax AS candidate_max, n_ok AS n_threshold_ok FROM g"""),
+        SELECT field, value, n_tasks, bm AS baseline_mean, cm AS candidate_mean, cmin AS candidate_min, cmax AS candidate_max, n_ok AS n_threshold_ok FROM g"""),
     "batch_summary": (batch_summary, f"""WITH {X.PAIRS} SELECT count(*) AS n_tasks, count(*) FILTER (export_ok) AS n_passed, count(*) FILTER (threshold_ok) AS n_threshold_ok,
-        min(baseline_passrate) AS baseline_min, max(baseline_passrate) AS baseline_max, round(avg(baseline_passrate), 4) AS baseline_mean, count(baseline_passrate) AS baseline_count,
-        min(candidate_passrate) AS candidate_min, max(candidate_passrate) AS candidate_max, round(avg(candidate_passrate), 4) AS candidate_mean, count(candidate_passrate) AS candidate_count FROM records"""),
+        min(baseline_passrate) AS baseline_min, max(baseline_passrate) AS baseline_max, (2 * sum(round(baseline_passrate * 10000)::BIGINT)::BIGINT + count(baseline_passrate)) // (2 * count(baseline_passrate)) / 10000.0::DOUBLE AS baseline_mean, count(baseline_passrate) AS baseline_count,
+        min(candidate_passrate) AS candidate_min, max(candidate_passrate) AS candidate_max, (2 * sum(round(candidate_passrate * 10000)::BIGINT)::BIGINT + count(candidate_passrate)) // (2 * count(candidate_passrate)) / 10000.0::DOUBLE AS candidate_mean, count(candidate_passrate) AS candidate_count FROM records"""),
     "criterion_differences": (criterion_differences, f"WITH {X.VERDICTS}{_PAIRED} SELECT * FROM differences"),
     "criterion_agreement": (criterion_agreement, f"""WITH {X.VERDICTS}{_PAIRED} SELECT task_id, count(*) FILTER (in_b AND in_c) AS n_shared, count(*) FILTER (NOT in_c) AS n_only_baseline,
         count(*) FILTER (NOT in_b) AS n_only_candidate, count(*) FILTER (in_b AND in_c AND db <> dc) AS n_descriptions_differ,
