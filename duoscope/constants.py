@@ -5,13 +5,8 @@ them as defaults.
 """
 
 # Pipeline stages and statuses.
-STAGES = ("prepare", "run", "collect", "score", "finalize", "validate")
 RETRY_STAGES = ("prepare", "run", "collect", "score", "finalize")
 ARM_STAGES = ("run", "collect", "score")
-STATUSES = (
-    "", "running", "done", "partial", "failed", "error", "timeout",
-    "skipped", "draft", "permanently_failed", "pending",
-)
 RETRYABLE_STATUSES = ("failed", "partial", "draft")
 SALVAGEABLE_STATUSES = ("running", "error", "failed", "timeout")
 DOWNSTREAM = {
@@ -36,10 +31,6 @@ MIN_LINES = 10
 MIN_SALVAGE_LINES = 3
 MIN_TURNS = 2
 MAX_TURNS = 8
-MAX_CONDENSED_CHARS = 50_000
-SNIPPET_CHARS = 300
-HEAD_LINES_FOR_MATCH = 50
-HEAD_LINES_FOR_INFERENCE = 30
 
 # Columns of the published submission table, internal name -> header.
 # "{baseline}" and "{candidate}" stand for the names of the two arms.
@@ -59,20 +50,6 @@ SUBMISSION_HEADERS = {
     "bad_pattern": "命中QwenBad Pattern",
 }
 
-# Task types.
-TASK_TYPES = (
-    "bug-fix",
-    "feature",
-    "enhancement",
-    "from_scratch",
-    "testing-quality",
-    "refactor-maintenance",
-    "build-release-config",
-    "documentation",
-    "code-explanation",
-    "security-compliance",
-)
-
 # Bad-pattern keys with their texts.
 BAD_PATTERNS = {
     "lazy_shortcut": "偷懒 - 模型只做核心功能，忽略隐式质量要求",
@@ -88,30 +65,6 @@ BAD_PATTERNS = {
 BAD_PATTERN_MARKERS = ("Bad Pattern 命中", "Bad Pattern命中", "bad pattern")
 BAD_PATTERN_NONE = ("未发现", "未命中", "无明确", "无命中")
 
-# Names of the reference scoring dimensions.
-DIMENSIONS = (
-    "user_experience_and_interaction",
-    "task_planning_and_execution_control",
-    "semantic_understanding_and_logical_reasoning",
-    "instruction_compliance_and_constraint_adherence",
-    "engineering_quality_and_completeness",
-    "delivery_completeness_and_usability",
-    "architecture_boundaries_and_security_compliance",
-    "tool_usage_and_failure_recovery",
-    "evidence_grounding_and_trace_fidelity",
-    "testing_and_verification_rigor",
-    "context_exploration_and_code_navigation",
-    "requirements_clarification_and_scope_control",
-    "environment_and_dependency_handling",
-    "attachment_and_artifact_handling",
-    "external_research_and_source_use",
-    "custom_tool_and_protocol_compliance",
-    "parallel_workflow_coordination",
-    "security_privacy_and_secret_handling",
-    "maintainability_and_change_minimality",
-    "final_response_and_handoff_quality",
-)
-
 # Words in a rationale that contradict a high or a low score.
 NEGATIVE_WORDS = (
     "没有", "没看到", "未完成", "不够", "缺少", "缺乏", "不足",
@@ -137,64 +90,14 @@ RESERVED_NAMES = (
     "LPT1", "LPT2", "LPT3", "LPT4", "LPT5", "LPT6", "LPT7", "LPT8", "LPT9",
 )
 
-# Code-host language name per language key.
-LANGUAGE_NAMES = {
-    "ts": "TypeScript",
-    "js": "JavaScript",
-    "python": "Python",
-    "java": "Java",
-    "go": "Go",
-    "c": "C",
-    "c++": "C++",
-    "rust": "Rust",
-    "kotlin": "Kotlin",
-    "swift": "Swift",
-    "dart": "Dart",
-    "lua": "Lua",
-    "shell": "Shell",
-    "html/css": "HTML",
-    "sql": "PLpgSQL",
-    "ruby": "Ruby",
-    "c#": "C#",
-    "php": "PHP",
-    "scala": "Scala",
-    "r": "R",
-    "other": "",
-}
-
-# Code-host search terms per domain key.
-DOMAIN_TERMS = {
-    "web_frontend": "frontend OR react OR vue OR angular OR nextjs OR svelte",
-    "backend_service": "api OR server OR backend OR rest OR microservice OR web-framework",
-    "mobile_app": "android OR ios OR react-native OR flutter OR mobile-app",
-    "data_engineering": "etl OR pipeline OR data-pipeline OR spark OR airflow OR streaming",
-    "ai_ml": "machine-learning OR deep-learning OR model-training OR inference OR mlops",
-    "devtools_test": "linter OR bundler OR test-framework OR cli-tool OR developer-tools",
-    "devops_infrastructure": "docker OR kubernetes OR terraform OR ci-cd OR monitoring OR devops",
-    "game_dev": "game OR game-engine OR unity OR godot OR gamedev",
-    "database_storage": "database OR orm OR cache OR migration OR storage",
-    "desktop_gui": "electron OR tauri OR qt OR desktop-app OR gui",
-    "graphics_media": "rendering OR visualization OR image-processing OR video OR graphics",
-    "business_logic": "order OR inventory OR pricing OR workflow OR erp OR crm",
-    "docs_knowledge": "documentation OR wiki OR knowledge-base OR static-site OR docs",
-    "embedded_system": "firmware OR rtos OR iot OR embedded OR driver OR hardware",
-    "pkg_manager_cli": "package-manager OR cli OR command-line OR installer",
-    "operating_system": "kernel OR filesystem OR scheduler OR operating-system",
-    "security_auth": "security OR authentication OR authorization OR cryptography",
-    "lang_runtime": "compiler OR interpreter OR runtime OR virtual-machine OR language",
-    "scientific_computing": "simulation OR numerical OR hpc OR scientific-computing",
-    "cms_ecommerce": "cms OR ecommerce OR storefront OR content-management",
-    "blockchain_web3": "blockchain OR smart-contract OR web3 OR ethereum",
-}
-
 # Health points per finding.
 HEALTH_POINTS = {
     "permanently_failed": 10,
     "failed": 3,
     "partial": 1,
     "stuck": 2,
-    "threshold_violation": 5,
-    "missing_file": 4,
+    "violations": 5,
+    "missing": 4,
 }
 HEALTH_CRITICAL_POINTS = 15
 STUCK_RETRIES = 2

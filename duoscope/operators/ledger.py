@@ -124,7 +124,7 @@ def delivery_progress(cells: DataFrame) -> DataFrame:
     )
 
 
-def blockers(cells: DataFrame, stuck_after: int = 2) -> DataFrame:
+def blockers(cells: DataFrame, stuck_after: int = C.STUCK_RETRIES) -> DataFrame:
     """Cells that failed for good, and failed or partial ones tried at least ``stuck_after`` times."""
     kind = F.when(F.col("status") == "permanently_failed", "permanently_failed").when(
         F.col("status").isin("failed", "partial") & (F.col("retry_count") >= stuck_after), "stuck"
@@ -132,12 +132,7 @@ def blockers(cells: DataFrame, stuck_after: int = 2) -> DataFrame:
     return cells.withColumn("kind", kind).filter("kind IS NOT NULL").select("task_id", "stage", "arm", "kind", "retry_count")
 
 
-# What each finding weighs, and where the verdicts begin.
-HEALTH_WEIGHTS = {"permanently_failed": 10, "failed": 3, "partial": 1, "stuck": 2, "violations": 5, "missing": 4}
-CRITICAL_FROM, WARNING_FROM = 15, 1
-
-
-def health_points(cells: DataFrame, n_violations: DataFrame, weights: dict[str, int] = HEALTH_WEIGHTS, stuck_after: int = 2) -> DataFrame:
+def health_points(cells: DataFrame, n_violations: DataFrame, weights: dict[str, int] = C.HEALTH_POINTS, stuck_after: int = C.STUCK_RETRIES) -> DataFrame:
     """Weighted points and verdict of a delivery. ``n_violations`` is one row with that column."""
     status = F.col("status")
     counts = cells.agg(
@@ -148,10 +143,31 @@ def health_points(cells: DataFrame, n_violations: DataFrame, weights: dict[str,
         F.count_if(status.isNull()).alias("n_missing"),
     ).join(F.broadcast(n_violations.select("n_violations")))  # one row each
     points = sum((F.col(f"n_{k}") * w for k, w in weights.items()), F.lit(0))
-    critical = (F.col("n_permanently_failed") > 0) | (F.col("points") >= CRITICAL_FROM)
+    critical = (F.col("n_permanently_failed") > 0) | (F.col("points") >= C.HEALTH_CRITICAL_POINTS)
     return counts.withColumn("points", points.cast("bigint")).withColumn(
-        "verdict", F.when(critical, "CRITICAL").when(F.col("points") >= WARNING_FROM, "WARNING").otherwise("HEALTHY")
+        "verdict", F.when(critical, "CRITICAL").when(F.col("points") > 0, "WARNING").otherwise("HEALTHY")
+    )
+
+
+def stage_health(counts: DataFrame) -> DataFrame:
+    """Status per stage and arm from its counts: critical with failures, degraded when unfinished, else healthy."""
+    status = F.when(F.col("n_failed") > 0, "critical").when(F.col("n_done") < F.col("n_total"), "degraded").otherwise("healthy")
+    return counts.select("stage", "arm", status.alias("health"), "n_done", "n_total")
+
+
+def run_status(turns: DataFrame, expected: str = "expected_turns") -> DataFrame:
+    """Status of a run from its turns: ``task_id, arm, exit_code, duration_s, session_id`` and the expected number.
+
+    failed when all turns failed or no session is known, partial when some failed or are missing, else done.
+    """
+    facts = turns.groupBy("task_id", "arm").agg(
+        F.count(F.lit(1)).alias("n_turns"), F.count_if(F.col("exit_code") != 0).alias("n_errors"),
+        F.max(expected).alias("n_expected"), F.sum("duration_s").alias("duration_s"),
+        F.max(F.when(F.col("session_id") != "", F.col("session_id"))).alias("session_id"),
     )
+    n, bad = F.col("n_turns"), F.col("n_errors")
+    status = F.when((bad == n) | F.col("session_id").isNull(), "failed").when((bad > 0) | (n < F.col("n_expected")), "partial").otherwise("done")
+    return facts.withColumn("status", status)
 
 
 def retryable(state: DataFrame, stages: Sequence[str] = C.RETRY_STAGES) -> DataFrame:

@@ -188,3 +188,17 @@ def paired_difference(pairs: DataFrame) -> DataFrame:
         )
         .filter("count > 0")
     )
+
+
+def mean_flags(means: DataFrame, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
+    """One row of flags on the arms' mean pass rates; the gain of means may equal its limit."""
+    both = means.agg(
+        F.max(F.when(F.col("arm") == ARMS.baseline, F.col("mean"))).alias("b"),
+        F.max(F.when(F.col("arm") == ARMS.candidate, F.col("mean"))).alias("c"),
+    )
+    b, c = F.col("b"), F.col("c")
+    return both.select(
+        F.coalesce(b >= thresholds.baseline_max, F.lit(False)).alias("baseline_high"),
+        F.coalesce(c <= thresholds.candidate_min, F.lit(False)).alias("candidate_low"),
+        F.coalesce((c - b) / b >= thresholds.gain_min, F.lit(False)).alias("gain_ok"),
+    )

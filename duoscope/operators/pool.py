@@ -119,6 +119,25 @@ def uniform(key: Column, seed: int) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(16**13)
 
 
+def match_ideas(ideas: DataFrame, slots: DataFrame, batch: str = "batch", kind: str = "task_type") -> DataFrame:
+    """The k-th idea of a type goes to the batch's k-th slot of that type; what is left fills the left slots in order.
+
+    ``ideas`` has ``idea``, ``slots`` has ``slot``, both unique numbers that give the order.
+    """
+    by_kind_i = row_numbers(ideas, [batch, kind], ["idea"], "k")
+    by_kind_s = row_numbers(slots, [batch, kind], ["slot"], "k")
+    matched = by_kind_s.join(by_kind_i, [batch, kind, "k"]).select(batch, "slot", "idea")
+    left_i = row_numbers(ideas.join(matched, [batch, "idea"], "left_anti"), [batch], ["idea"], "k")
+    left_s = row_numbers(slots.join(matched, [batch, "slot"], "left_anti"), [batch], ["slot"], "k")
+    rest = left_s.join(left_i.select(batch, "k", "idea"), [batch, "k"]).select(batch, "slot", "idea")
+    return matched.union(rest)
+
+
+def eligible(candidates: DataFrame, excluded: DataFrame, stars: tuple[int, int], key: str = "repo") -> DataFrame:
+    """Candidates with stars in range (both ends) that are not excluded."""
+    return candidates.filter(F.col("stars").between(*stars)).join(excluded.select(key), key, "left_anti")
+
+
 def weighted_sample(rows: DataFrame, key: str, weight: str, k: int, seed: int) -> DataFrame:
     """``k`` rows drawn without replacement with chances by weight (exponential keys; all rows when fewer)."""
     draw = -F.ln(uniform(F.col(key), seed)) / F.col(weight)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duoscope import constants as C
 from duoscope.functions.text import head_tail
 from duoscope.operators.ordered import first_per_key, last_seen, running_sum
 from duoscope.settings import LIMITS, Limits
@@ -100,6 +101,55 @@ def collect_action(status: Column, forced: Column, salvageable: Sequence[str]) -
     )
 
 
+def files_of_runs(runs: DataFrame, files: DataFrame) -> DataFrame:
+    """The log file of each run, and how it was found.
+
+    ``runs``: ``run_id, slug, start, session``; ``files``: ``slug, file, session, mtime``. A file of the run's session wins, then the
+    newest file of the folder if it is younger than the run's start, then the session's file in another folder.
+    The newest younger file is the newest of the folder or there is none, so the inequality needs no
+    range join: both sides meet as one aggregated row per key.
+    """
+    newest = F.max(F.struct("mtime", "file"))
+    by_session = files.filter("session <> ''").groupBy("slug", "session").agg(newest.alias("own"))
+    by_folder = files.groupBy("slug").agg(newest.alias("new"))
+    anywhere = files.filter("session <> ''").groupBy("session").agg(newest.alias("other"))
+    joined = runs.join(by_session, ["slug", "session"], "left").join(by_folder, "slug", "left").join(anywhere, "session", "left")
+    own, new = F.col("own.mtime") > F.col("start"), F.col("new.mtime") > F.col("start")
+    return joined.select(
+        "run_id",
+        F.when(own, F.col("own.file")).when(new, F.col("new.file")).otherwise(F.col("other.file")).alias("file"),
+        F.when(own, "session").when(new, "newest").when(F.col("other.file").isNotNull(), "elsewhere").otherwise("none").alias("found_by"),
+    )
+
+
+def delivered_file(files: DataFrame, key: str, kinds: Sequence[str]) -> DataFrame:
+    """Of each task's files the one of the first kind there is (``kinds`` in order of precedence)."""
+    rank = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind"))
+    best = F.min(F.when(rank > 0, F.struct(rank.alias("rank"), "file"))).alias("b")
+    return files.groupBy(key).agg(best).filter("b IS NOT NULL").select(key, "b.file", F.element_at(F.array(*[F.lit(k) for k in kinds]), F.col("b.rank").cast("int")).alias("kind"))
+
+
+def input_summary(tool: Column, inputs: Column, few: int = 3, more: int = 5, key_fields=C.TOOL_KEY_FIELDS) -> Column:
+    """One line of a tool's inputs (a map of texts): the first few, long values cut, key fields later than others."""
+    known = tool.isin(*key_fields)
+    keys = F.create_map(*[x for t, f in key_fields.items() for x in (F.lit(t), F.array(*[F.lit(v) for v in f]))])[tool]
+    entries = F.slice(F.map_entries(inputs), 1, F.when(known, more).otherwise(few))
+
+    def shown(e: Column) -> Column:
+        v, is_key = e["value"], F.coalesce(F.array_contains(keys, e["key"]), F.lit(False))
+        long_key = F.when(F.length(v) > 300, F.concat(F.left(v, F.lit(200)), F.lit("..."))).otherwise(v)
+        long_other = F.when(F.length(v) > 80, F.concat(F.left(v, F.lit(40)), F.lit("..."))).otherwise(v)
+        return F.concat(e["key"], F.lit("="), F.when(is_key, long_key).otherwise(long_other))
+
+    return F.array_join(F.transform(entries, shown), ", ")
+
+
+def salvaged_json(raw: Column) -> Column:
+    """A VARIANT from text that is JSON or holds one: the whole, else from the first brace to the last, else brackets."""
+    inner = lambda a, b: F.try_parse_json(F.regexp_extract(raw, rf"(?s)(\{a}.*\{b})", 1))
+    return F.coalesce(F.try_parse_json(raw), inner("{", "}"), inner("[", "]"))
+
+
 def repeated_results(rows: DataFrame, keys: Sequence[str], order: str, text: str, kind: str, tool: str) -> DataFrame:
     """Add ``is_first`` (first of its text and kind in the session) and, to repeats, ``same_as``.
 

@@ -47,6 +47,16 @@ def retry_outcomes(spark, d):
     return L.retry_outcomes(before, state(spark, d))
 
 
+def run_status(spark, d):
+    """Events of a user as turns: errors fail, purchases know the session, five turns are expected per arm."""
+    turns = X.table(spark, d, "events").select(
+        F.col("user_id").alias("task_id"), F.when(F.col("event_id") % 2 == 0, "baseline").otherwise("candidate").alias("arm"),
+        (F.col("event_type") == "error").cast("int").alias("exit_code"), F.col("value").alias("duration_s"),
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit("s"), F.col("user_id"))).otherwise("").alias("session_id"), F.lit(30).alias("expected_turns"),
+    )
+    return L.run_status(turns).select("task_id", "arm", "n_turns", "n_errors", F.round("duration_s", 3).alias("duration_s"), "session_id", "status")
+
+
 _CASCADE = """, plan AS (
   SELECT DISTINCT s.task_id, t.stage, t.stage_rank,
     CASE WHEN NOT t.armed THEN NULL WHEN s.arm IS NOT NULL AND t.stage <> 'prepare' THEN s.arm ELSE a.arm END AS arm
@@ -76,6 +86,11 @@ QUERIES = {
         count(*) FILTER (status = 'partial') AS n_partial, count(*) FILTER (status IN ('failed', 'partial') AND retry_count >= 2) AS n_stuck, count(*) FILTER (status IS NULL) AS n_missing,
         (SELECT count(*) FROM events WHERE value > 400) AS n_violations FROM cells), p AS (SELECT *, (10 * n_permanently_failed + 3 * n_failed + n_partial + 2 * n_stuck + 5 * n_violations + 4 * n_missing)::BIGINT AS points FROM n)
         SELECT *, CASE WHEN n_permanently_failed > 0 OR points >= 15 THEN 'CRITICAL' WHEN points >= 1 THEN 'WARNING' ELSE 'HEALTHY' END AS verdict FROM p"""),
+    "stage_health": (lambda s, d: L.stage_health(L.stage_counts(cells(s, d))), f"""WITH {X.CELLS}, n AS (SELECT stage, arm, count(*) FILTER (class = 'done') AS n_done, count(*) FILTER (class = 'failed') AS n_failed, count(*) AS n_total FROM cells GROUP BY 1, 2)
+        SELECT stage, arm, CASE WHEN n_failed > 0 THEN 'critical' WHEN n_done < n_total THEN 'degraded' ELSE 'healthy' END AS health, n_done, n_total FROM n"""),
+    "run_status": (run_status, """WITH t AS (SELECT user_id AS task_id, CASE WHEN event_id % 2 = 0 THEN 'baseline' ELSE 'candidate' END AS arm, count(*) AS n_turns, count(*) FILTER (event_type = 'error') AS n_errors,
+        round(sum(value), 3) AS duration_s, max(CASE WHEN event_type = 'purchase' THEN 's' || user_id END) AS session_id FROM events GROUP BY 1, 2)
+        SELECT *, CASE WHEN n_errors = n_turns OR session_id IS NULL THEN 'failed' WHEN n_errors > 0 OR n_turns < 30 THEN 'partial' ELSE 'done' END AS status FROM t"""),
     "retryable": (lambda s, d: L.retry_split(L.retryable(state(s, d))), f"""WITH {X.STATE} SELECT *, CASE WHEN coalesce(retry_count, 0) >= 3 THEN 'permanently_failed' ELSE 'retry' END AS action FROM state WHERE status IN ('failed', 'partial', 'draft')"""),
     "retry_plan": (retry_plan, f"WITH {X.CELLS}{_CASCADE} SELECT * FROM plan"),
     "retry_writes": (retry_writes, f"""WITH {X.CELLS}{_CASCADE} SELECT p.task_id, p.stage, p.arm, 'pending' AS status, (coalesce(s.retry_count, 0) + 1)::INT AS retry_count, coalesce(s.seq, -1) + 1 AS seq

@@ -84,7 +84,24 @@ def next_id(spark, d):
     return P.next_id([ids, more])
 
 
+def idea_matching(spark, d):
+    """Even parts as ideas, odd parts as slots, brands as batches."""
+    rows = X.table(spark, d, "part").select(F.col("p_partkey").alias("n"), F.col("p_brand").alias("batch"), F.col("p_type").alias("task_type"))
+    return P.match_ideas(rows.filter("n % 2 = 0").withColumnRenamed("n", "idea"), rows.filter("n % 2 = 1").withColumnRenamed("n", "slot"))
+
+
+def eligible_projects(spark, d):
+    return P.eligible(X.pool(spark, d), X.used(spark, d), (10, 30)).select("key", "repo", "stars")
+
+
 QUERIES = {
+    "idea_matching": (idea_matching, """WITH i AS (SELECT p_partkey AS idea, p_brand AS batch, p_type AS t, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) AS k FROM part WHERE p_partkey % 2 = 0),
+        s AS (SELECT p_partkey AS slot, p_brand AS batch, p_type AS t, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) AS k FROM part WHERE p_partkey % 2 = 1),
+        m AS (SELECT s.batch, slot, idea FROM s JOIN i USING (batch, t, k)),
+        li AS (SELECT batch, idea, row_number() OVER (PARTITION BY batch ORDER BY idea) AS k FROM i WHERE idea NOT IN (SELECT idea FROM m)),
+        ls AS (SELECT batch, slot, row_number() OVER (PARTITION BY batch ORDER BY slot) AS k FROM s WHERE slot NOT IN (SELECT slot FROM m))
+        SELECT * FROM m UNION ALL SELECT ls.batch, slot, idea FROM ls JOIN li USING (batch, k)"""),
+    "eligible_projects": (eligible_projects, f"WITH {X.POOL} SELECT key, repo, stars FROM pool WHERE stars BETWEEN 10 AND 30 AND repo NOT IN (SELECT repo FROM used)"),
     "pool_needs": (needs, "SELECT p_brand AS key, ceil(ceil(sum(l_quantity) / 3) * 1.2)::BIGINT AS needed FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1"),
     "used_projects": (X.used, f"WITH {X.POOL} SELECT repo FROM used"),
     "available_projects": (available, f"WITH {X.POOL} SELECT key, repo FROM pool WHERE repo NOT IN (SELECT repo FROM used)"),

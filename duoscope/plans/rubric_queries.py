@@ -95,6 +95,10 @@ def passrate_distribution(spark, d):
     return out.select("arm", *[F.round(c, 6).alias(c) for c in ("min", "max", "mean", "median", "std")], "count")
 
 
+def mean_flags(spark, d):
+    return pairs.mean_flags(pairs.distribution(verdicts(spark, d), ["arm"]).select("arm", "mean"))
+
+
 def paired_difference(spark, d):
     out = pairs.paired_difference(records(spark, d))
     return out.select(*[F.round(c, 6).alias(c) for c in ("mean", "median", "std")], "count", "positive", "negative", "tie")
@@ -209,6 +213,8 @@ QUERIES = {
     "selected_tasks": (selected_tasks, f"WITH {X.TASKS} SELECT w.id AS pair_id, task_type, domain, language, requested::INT AS requested, pair_id IS NOT NULL AS known FROM (VALUES (7, 0), (3, 1), (1000000000000, 2)) w(id, requested) LEFT JOIN tasks ON pair_id = w.id"),
     "known_tasks": (known_tasks, f"WITH {X.TASKS} SELECT CASE WHEN pair_id % 3 = 0 THEN 'manifest' ELSE 'configured' END AS origin, count(*) AS n, sum(pair_id)::BIGINT AS ids FROM tasks GROUP BY 1"),
     "passrate_distribution": (passrate_distribution, f"WITH {X.VERDICTS} SELECT arm, round(min(passrate), 6) AS min, round(max(passrate), 6) AS max, round(avg(passrate), 6) AS mean, round(median(passrate), 6) AS median, round(coalesce(stddev_samp(passrate), 0), 6) AS std, count(*) AS count FROM rated WHERE passrate IS NOT NULL GROUP BY 1"),
+    "mean_flags": (mean_flags, f"""WITH {X.VERDICTS}, m AS (SELECT avg(passrate) FILTER (arm = 'baseline') AS b, avg(passrate) FILTER (arm = 'candidate') AS c FROM rated)
+        SELECT coalesce(b >= 0.7, false) AS baseline_high, coalesce(c <= 0.7, false) AS candidate_low, coalesce((c - b) / b >= 0.25, false) AS gain_ok FROM m"""),
     "paired_difference": (paired_difference, f"""WITH {X.PAIRS}, u AS (SELECT round(candidate_passrate * 10000)::BIGINT - round(baseline_passrate * 10000)::BIGINT AS d FROM records)
         SELECT round(avg(d) / 10000, 6) AS mean, round(median(d) / 10000, 6) AS median, round(coalesce(stddev_samp(d) / 10000, 0), 6) AS std, count(*) AS count,
         count(*) FILTER (d > 0) AS positive, count(*) FILTER (d < 0) AS negative, count(*) FILTER (d = 0) AS tie FROM u WHERE d IS NOT NULL HAVING count(*) > 0"""),

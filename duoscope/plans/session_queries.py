@@ -101,10 +101,52 @@ def collect_actions(spark, d):
     return runs.select("task_id", "arm", S.collect_action(status, forced, C.SALVAGEABLE_STATUSES).alias("action"))
 
 
+def files_of_runs(spark, d):
+    """Suppliers as runs in their nation's folder, customers as files there."""
+    runs = X.table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("run_id"), F.col("s_nationkey").alias("slug"), F.col("s_acctbal").alias("start"),
+        F.concat(F.lit("s"), (F.col("s_suppkey") * 7).cast("string")).alias("session"),
+    )
+    files = X.table(spark, d, "customer").select(
+        F.col("c_nationkey").alias("slug"), F.col("c_name").alias("file"), F.concat(F.lit("s"), F.col("c_custkey")).alias("session"), F.col("c_acctbal").alias("mtime"),
+    )
+    return S.files_of_runs(runs, files)
+
+
+def delivered_files(spark, d):
+    files = X.table(spark, d, "part").select("p_brand", F.col("p_type").alias("kind"), F.col("p_partkey").alias("file"))
+    return S.delivered_file(files, "p_brand", ["PROMO", "ECONOMY", "STANDARD"])
+
+
+def tool_inputs(spark, d):
+    inputs = F.create_map(F.lit("command"), F.coalesce("text", F.lit("")), F.lit("note"), F.coalesce("text", F.lit("")), F.lit("role"), F.col("role"), F.lit("turn"), F.col("turn").cast("string"))
+    tool = F.when(F.col("role") == "assistant", "Bash").otherwise("Other")
+    return X.table(spark, d, "conversations").select("conv_id", "turn", S.input_summary(tool, inputs).alias("summary"))
+
+
+def salvaged(spark, d):
+    raw = F.concat(F.when(F.col("event_id") % 3 == 0, "Here: ").otherwise(""), F.when(F.col("event_id") % 5 == 0, "no json").otherwise(F.col("props")), F.when(F.col("event_id") % 2 == 0, " done").otherwise(""))
+    return X.table(spark, d, "events").select("event_id", F.try_variant_get(S.salvaged_json(raw), "$.k", "int").alias("k"))
+
+
 _PROVIDER = """CASE WHEN len(list_filter(models, lambda m: contains(lower(m), 'qwen'))) > 0 THEN 'qwen'
   WHEN len(list_filter(models, lambda m: contains(lower(m), 'claude'))) > 0 THEN 'claude' ELSE 'unknown' END"""
 
+_CUT = "CASE WHEN length(text) > {0} THEN left(text, {1}) || '...' ELSE coalesce(text, '') END"
+
 QUERIES = {
+    "files_of_runs": (files_of_runs, """WITH f AS (SELECT c_nationkey AS slug, c_name AS file, 's' || c_custkey AS session, c_acctbal AS mtime FROM customer),
+        r AS (SELECT s_suppkey AS run_id, s_nationkey AS slug, s_acctbal AS start, 's' || (s_suppkey * 7) AS session FROM supplier),
+        own AS (SELECT run_id, max_by(file, mtime) AS file FROM r JOIN f USING (slug, session) WHERE mtime > start GROUP BY 1),
+        new AS (SELECT run_id, max_by(file, (mtime, file)) AS file FROM r JOIN f USING (slug) WHERE mtime > start GROUP BY 1),
+        o AS (SELECT run_id, max_by(f.file, f.mtime) AS file FROM r JOIN f USING (session) GROUP BY 1)
+        SELECT r.run_id, coalesce(own.file, new.file, o.file) AS file, CASE WHEN own.file IS NOT NULL THEN 'session' WHEN new.file IS NOT NULL THEN 'newest' WHEN o.file IS NOT NULL THEN 'elsewhere' ELSE 'none' END AS found_by
+        FROM r LEFT JOIN own USING (run_id) LEFT JOIN new USING (run_id) LEFT JOIN o USING (run_id)"""),
+    "delivered_files": (delivered_files, """WITH r AS (SELECT p_brand, p_partkey AS file, p_type AS kind, list_position(['PROMO', 'ECONOMY', 'STANDARD'], p_type) AS rank FROM part)
+        SELECT p_brand, file, kind FROM r WHERE rank > 0 QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY rank, file) = 1"""),
+    "tool_inputs": (tool_inputs, f"""SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'command=' || {_CUT.format(300, 200)} || ', note=' || {_CUT.format(80, 40)} || ', role=' || role || ', turn=' || turn
+        ELSE 'command=' || {_CUT.format(80, 40)} || ', note=' || {_CUT.format(80, 40)} || ', role=' || role END AS summary FROM conversations"""),
+    "salvaged_json": (salvaged, "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(json_extract(props, '$.k') AS INT) END AS k FROM events"),
     "session_facts": (session_facts, f"WITH {X.LINES} SELECT session, line_count, user_turns, session_id, array_to_string(models, ',') AS models, first_user_at, last_at, first_user_query FROM facts"),
     "session_issues": (session_issues, f"""WITH {X.LINES} SELECT session, 'too_short' AS rule, 'issue' AS severity FROM facts WHERE line_count < 10
         UNION ALL SELECT session, 'no_session', 'issue' FROM facts WHERE coalesce(session_id, '') = '' UNION ALL SELECT session, 'no_models', 'issue' FROM facts WHERE len(models) = 0
