@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -20,50 +22,109 @@ END_ID = 2
 SEQUENCE = 2048
 BATCH = 64
 #: Pieces of text up to this length are remembered by a Python worker, this many twice over.
-PIECE, REMEMBERED = 40, 300_000
+PIECE, REMEMBERED = 40, 150_000
 
 ENCODED = "part int, doc_id bigint, ids binary"
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
 BACK = "part int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint"
 
 
+# What a tokenizer does before its model if its ids can be found word by word.
+WORD_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "behavior": "Removed", "invert": True, "pattern": {
+            "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "post_processor": None,
+}
+
+#: Printable Latin-1 without apostrophe and blanks: its small letters, digits and signs are one code point each.
+_LATIN = re.compile("[!-&(-~\u00a1-\u00ff]+")
+_RUNS = re.compile("[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^a-z0-9\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff\u00b2\u00b3\u00b9\u00bc-\u00be]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """A tokenizer with a memory of pieces.
 
-    Blanks and line feeds always end a token of a tokenizer that drops white
-    space, so the ids of a text are those of the pieces between them.
+    For a tokenizer with :data:`WORD_STEPS`, blanks and line feeds end a token and are
+    dropped, so a text's ids are those of the pieces between them; and a piece of
+    Latin-1 falls into runs of letters, digits and runs of signs that its model encodes one by
+    one. Other pieces go through the whole tokenizer, and so do whole texts of any
+    other tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        shape = json.loads(self.tokenizer.to_str())
+        self.by_word = all(shape.get(k) == v for k, v in WORD_STEPS.items())
+        specials = [t["content"] for t in shape["added_tokens"]]
+        self.starts = sorted({t[:2] for t in specials})
+        self.by_word &= not any(" " in t or "\n" in t for t in specials)
+        self.by_word &= not any(t[k] for t in shape["added_tokens"] for k in ("lstrip", "rstrip", "single_word"))
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.letters = str.maketrans(_byte_letters())
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        self.young_runs: dict[str, bytes] = {}
+        self.old_runs: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _run(self, run: str) -> bytes:
+        ids = self.young_runs.get(run)
+        if ids is None:
+            ids = self.old_runs.get(run)
+            if ids is None:
+                spelled = run.encode("utf-8").decode("latin-1").translate(self.letters)
+                ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.width).tobytes()
+            if len(run) <= PIECE:
+                self.young_runs[run] = ids
+        return ids
 
     def _pieces(self, wanted: list[str]) -> dict[str, bytes]:
-        encoded = self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False)
-        return {w: np.array(e.ids, self.width).tobytes() for w, e in zip(wanted, encoded)}
+        out, rest = {}, []
+        for w in wanted:
+            if _LATIN.fullmatch(w) and not any(s in w for s in self.starts):
+                out[w] = b"".join(map(self._run, _RUNS.findall(w.lower())))
+            else:
+                rest.append(w)
+        if rest:
+            out.update(zip(rest, self._whole(rest)))
+        if len(self.young_runs) > 2 * REMEMBERED:
+            self.old_runs, self.young_runs = self.young_runs, {}
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian, in as few bytes as the vocabulary needs."""
+        if not self.by_word:
+            return self._whole(texts)
         split = [t.replace("\n", " ").split(" ") for t in texts]
         young, old = self.young, self.old
-        needed = set().union(*split) - young.keys()
-        long: list[str] = []
         fresh: list[str] = []
-        for w in needed:
+        for w in set().union(*split) - young.keys():
             if w in old:
                 young[w] = old[w]
             else:
-                (long if len(w) > PIECE else fresh).append(w)
-        for wanted in (fresh, long):
-            if wanted:
-                young.update(self._pieces(wanted))
+                fresh.append(w)
+        young.update(self._pieces(fresh))
         out = [b"".join(map(young.__getitem__, pieces)) for pieces in split]
-        for w in long:
-            del young[w]
+        for w in fresh:
+            if len(w) > PIECE:
+                del young[w]
         if len(young) > REMEMBERED:
             self.old, self.young = young, {"": b""}
         return out
@@ -109,7 +170,7 @@ class _PartWriter:
         self.path = f"{root}/part-{part:06d}.arrow"
         self.own = f"{root}/.part-{part:06d}-{uuid.uuid4().hex}"
         ids = pa.list_(pa.from_numpy_dtype(width), sequence)
-        self.schema = pa.schema([("ids", ids), ("mask", pa.list_(pa.uint8(), sequence))])
+        self.schema = pa.schema([("ids", ids), ("mask", pa.list_(pa.bool_(), sequence))])
         self.store.create_dir(root, recursive=True)
         self.sink = self.store.open_output_stream(self.own)
         self.file = pa.ipc.new_file(self.sink, self.schema)
@@ -133,8 +194,8 @@ class _PartWriter:
         for at in range(0, upto, step):
             ids = flat[at : min(at + step, upto)]
             rows = -(-len(ids) // self.sequence)
-            mask = np.zeros(rows * self.sequence, np.uint8)
-            mask[: len(ids)] = 1
+            mask = np.zeros(rows * self.sequence, bool)
+            mask[: len(ids)] = True
             padded = np.zeros(rows * self.sequence, self.width)
             padded[: len(ids)] = ids
             self.file.write_batch(pa.RecordBatch.from_arrays(
@@ -224,7 +285,7 @@ def _documents(base: str, path: str) -> Iterator[tuple[int | None, int, np.ndarr
             while have < n:
                 batch = file.get_batch(at)
                 ids = batch.column("ids").flatten().to_numpy()
-                held.append(ids[batch.column("mask").flatten().to_numpy() == 1])
+                held.append(ids[batch.column("mask").flatten().to_numpy(zero_copy_only=False)])
                 have += len(held[-1])
                 at += 1
             flat = held[0] if len(held) == 1 else np.concatenate(held)
