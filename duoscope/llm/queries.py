@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from duoscope.llm import oracle_sql as oracle_sql_of
 from duoscope.llm import (
     crf_quality, decontaminate, language_id, mixing, near_dedup, order_minhash, secrets, shards,
     token_files, url_rules,
@@ -26,4 +27,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_rules": url_rules.OP10_SQL}
+    return {
+        "op2_mixing": oracle_sql_of.MIXING,
+        "op3_secrets": oracle_sql_of.SECRETS,
+        "op6_decontaminate": oracle_sql_of.DECONTAMINATION,
+        "op7_shards": oracle_sql_of.SHARDS,
+        "op9_near_dedup": oracle_sql_of.NEAR_DUPLICATES,
+        "op10_url_rules": url_rules.OP10_SQL,
+    }
