@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -89,23 +90,42 @@ def _hex(values: np.ndarray) -> str:
     return values.astype(">u2").tobytes().hex()
 
 
-def _from_hex(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">u2")
+def _bytes(values: np.ndarray) -> bytes:
+    return values.astype(">u2").tobytes()
 
 
-def _prints(bounds: np.ndarray | None):
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1024):
+            batch = whole.slice(at, 1024)
+            prints = [_hex(fingerprint(t)) for t in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], names=[*batch.schema.names, "fingerprint"])
+
+
+_PACKED = "part int, packed binary, print binary"
+
+
+def _packed(bounds: np.ndarray | None):
+    """Texts and fingerprints as few bytes as possible, for they go through the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
                 texts = batch.column("_text").to_pylist()
-                columns = [*batch.columns, pa.array([_hex(fingerprint(t)) for t in texts], pa.string())]
-                names = [*batch.schema.names, "fingerprint"]
-                if bounds is not None:
+                if bounds is None:
+                    parts = batch.column("part")
+                else:
                     keys = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy()
-                    columns.append(pa.array(np.searchsorted(bounds, keys, side="right"), pa.int32()))
-                    names.append("part")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                    parts = pa.array(np.searchsorted(bounds, keys, side="right"), pa.int32())
+                columns = {
+                    "part": parts,
+                    "packed": pa.array([pack(t.encode("utf-8")) for t in texts], pa.binary()),
+                    "print": pa.array([_bytes(fingerprint(t)) for t in texts], pa.binary()),
+                }
+                if bounds is not None:
+                    columns = {"doc_id": batch.column("doc_id")} | columns
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
@@ -120,26 +140,24 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     kinds = dict(docs.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in own), "_text string, fingerprint string"])
     body = F.coalesce(F.col(text), F.lit("")).alias("_text")
-    return docs.select(*own, body).mapInArrow(_prints(None), schema).drop("_text")
+    return docs.select(*own, body).mapInArrow(_prints, schema).drop("_text")
 
 
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """``doc_id, _text, fingerprint, next_text, next_print`` in descending doc_id order.
+    """``doc_id, packed, print, next_packed, next_print`` in descending doc_id order (texts zstd-compressed).
 
     The next of the last document is the first. Ranges of doc_id form parts that
     are sorted by themselves; only the first document of each part is carried
-    over to the part before it. Equal ids follow each other by hash of their text; null ids come last.
+    over to the part before it. Equal ids follow each other by their packed text; null ids come last.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"))
     n = parts or default_parts(spark, rows.count())
     bounds = order_bounds(rows, "doc_id", n)
-    printed = rows.mapInArrow(_prints(bounds), "doc_id bigint, _text string, fingerprint string, part int")
-    tie = F.xxhash64("_text")
-    order = W.partitionBy("part").orderBy(F.col("doc_id").desc_nulls_last(), tie)
-    inside = printed.select(
-        "*", F.lead(F.struct("_text", "fingerprint")).over(order).alias("_next")
-    )
+    printed = rows.mapInArrow(_packed(bounds), f"doc_id bigint, {_PACKED}")
+    order = W.partitionBy("part").orderBy(F.col("doc_id").desc_nulls_last(), "packed")
+    head = F.struct("packed", "print")
+    inside = printed.select("*", F.lead(head).over(order).alias("_next"))
     # First document of each part: as many rows as there are parts.
     part = F.lit(0)
     if len(bounds):
@@ -148,18 +166,18 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     tops = rows.select("doc_id").withColumn("part", part).groupBy("part").agg(F.max("doc_id").alias("doc_id"))
     heads = (
         rows.join(F.broadcast(tops.select(F.col("doc_id").alias("_top"), "part")), F.col("doc_id").eqNullSafe(F.col("_top")))
-        .groupBy("part").agg(F.min(F.struct(tie.alias("h"), "_text")).alias("x")).select("part", F.col("x._text").alias("_text"))
-        .mapInArrow(_prints(None), "part int, _text string, fingerprint string")
+        .select("part", "_text").mapInArrow(_packed(None), _PACKED)
+        .groupBy("part").agg(F.min(head).alias("x")).select("part", "x.packed", "x.print")
     )
     across = W.orderBy(F.col("part").desc())
     whole = across.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    head = F.struct("_text", "fingerprint")
     following = heads.select(
         "part", F.coalesce(F.lead(head).over(across), F.first(head).over(whole)).alias("_wrap")
     )
-    joined = inside.join(F.broadcast(following), "part")
     after = F.coalesce("_next", "_wrap")
-    return joined.select("doc_id", "_text", "fingerprint", after["_text"].alias("next_text"), after["fingerprint"].alias("next_print"))
+    return inside.join(F.broadcast(following), "part").select(
+        "doc_id", "packed", "print", after["packed"].alias("next_packed"), after["print"].alias("next_print")
+    )
 
 
 _RESULT = (
@@ -169,18 +187,20 @@ _RESULT = (
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    names = ("doc_id", "packed", "print", "next_packed", "next_print")
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
             out = []
-            names = ("doc_id", "_text", "fingerprint", "next_text", "next_print")
-            for doc_id, text, own, after, other in zip(*(batch.column(c).to_pylist() for c in names)):
+            for doc_id, packed, own, after, other in zip(*(batch.column(c).to_pylist() for c in names)):
+                text = unpack(packed).decode("utf-8")
                 cut = len(text) // 3
-                edited = text[: len(text) - cut] + after[:cut]
-                mine, changed = _from_hex(own), fingerprint(edited)
+                edited = text[: len(text) - cut] + (unpack(after).decode("utf-8")[:cut] if cut else "")
+                mine, changed = np.frombuffer(own, ">u2"), fingerprint(edited)
                 out.append((
-                    doc_id, len(text), hashlib.sha256(edited.encode("utf-8")).hexdigest(), own, _hex(changed),
-                    likeness(mine, changed), likeness(mine, _from_hex(other)),
+                    doc_id, len(text), hashlib.sha256(edited.encode("utf-8")).hexdigest(), own.hex(), _hex(changed),
+                    likeness(mine, changed), likeness(mine, np.frombuffer(other, ">u2")),
                 ))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
