@@ -89,7 +89,7 @@ def select_tasks(tasks: DataFrame, ids: list | None, key: str = "task_id") -> Da
         T.StructType([T.StructField("requested", T.IntegerType()), T.StructField(key, kind)]),
     )
     found = tasks.filter(F.col(key).isin(*ids)).withColumn("known", F.lit(True))
-    joined = F.broadcast(wanted).join(found, key, "left")
+    joined = wanted.join(found, key, "left")
     return joined.withColumn("known", F.coalesce("known", F.lit(False))).select(*tasks.columns, "requested", "known")
 
 

@@ -87,3 +87,31 @@ def finalize(records: DataFrame, reasons: DataFrame, key: str = "task_id") -> Da
     bad = F.coalesce(F.col("baseline_reason").isin(*FAILING), F.lit(False)) | F.coalesce(F.col("candidate_reason").isin(*FAILING), F.lit(False))
     status = F.when(bad, "failed").when(~F.col("threshold_ok"), "partial").otherwise("done")
     return records.join(reasons, key).withColumn("status", status)
+
+
+def with_context(tasks: DataFrame, sources: Sequence[DataFrame], fields: Sequence[str], default: str = "unknown", key: str = "task_id") -> DataFrame:
+    """Each field from the first source that has a non-empty value, else the default; ``defaulted`` names the latter.
+
+    Every source has the key, once per task, and all fields.
+    """
+    out = tasks.select(key)
+    for i, source in enumerate(sources):
+        out = out.join(source.select(key, *[F.col(f).alias(f"_{f}_{i}") for f in fields]), key, "left")
+    found = {f: F.coalesce(*[F.nullif(F.trim(F.col(f"_{f}_{i}").cast("string")), F.lit("")) for i in range(len(sources))]) for f in fields}
+    missing = F.array_compact(F.array(*[F.when(c.isNull(), f) for f, c in found.items()]))
+    return out.select(key, *[F.coalesce(c, F.lit(default)).alias(f) for f, c in found.items()], missing.alias("defaulted"))
+
+
+def score_mode(rows: DataFrame) -> DataFrame:
+    """Add ``mode`` and ``skip`` to (task, arm) rows with the facts of their rubric and session.
+
+    Columns: ``has_template``, ``template_scored``, ``has_custom_descriptions``, ``session_status``, ``forced``. A rubric with own
+    descriptions is scored as custom, one with a template as fixed, without one as free; slots that are
+    scored already and sessions that are not done are skipped.
+    """
+    mode = F.when(F.col("has_template") & F.col("has_custom_descriptions"), "custom").when(F.col("has_template"), "fixed").otherwise("free")
+    skip = (
+        F.when(~F.coalesce(F.col("session_status") == "done", F.lit(False)), "no_session")
+        .when(F.col("template_scored") & ~F.col("forced"), "already_scored")
+    )
+    return rows.withColumns({"mode": mode, "skip": skip})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duoscope import constants as C
-from duoscope.functions import names
+from duoscope.functions import names, text
 from duoscope.operators import filters, pairs, rubrics, rules
 from duoscope.operators.ordered import row_numbers
 from duoscope.plans import fixtures as X
@@ -164,6 +164,38 @@ def finalize_status(spark, d):
     return rules.finalize(records(spark, d), reasons).select("task_id", "status")
 
 
+def task_context(spark, d):
+    """Dimensions of customers from their own row where the balance is positive, else from their nation."""
+    base = X.table(spark, d, "customer").select(F.col("c_custkey").alias("task_id"), "c_acctbal", "c_mktsegment", "c_nationkey")
+    own = base.select("task_id", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).otherwise(" ").alias("kind"), F.lit(None).cast("string").alias("place"))
+    nation = base.filter("task_id % 3 = 0").join(X.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "task_id", F.lit("").alias("kind"), F.col("n_name").alias("place"))
+    out = rules.with_context(base, [own, nation], ["kind", "place"])
+    return out.withColumn("defaulted", F.array_join("defaulted", ","))
+
+
+def score_modes(spark, d):
+    """Rubrics as score slots: complete ones are scored, every third has own descriptions, small tasks have no session."""
+    t = F.col("task_id") % 1000 + F.expr("task_id div 1000")
+    facts = verdicts(spark, d).select(
+        "task_id", "arm", (t % 4 != 0).alias("has_template"), F.col("reason").isNull().alias("template_scored"),
+        (t % 3 == 0).alias("has_custom_descriptions"), F.when(t % 5 != 0, "done").alias("session_status"), (t % 7 == 0).alias("forced"),
+    )
+    return rules.score_mode(facts).select("task_id", "arm", "mode", "skip")
+
+
+def rescore_outcomes(spark, d):
+    return records(spark, d).agg(F.count_if("threshold_ok").alias("n_passed"), F.count_if(~F.col("threshold_ok")).alias("n_failed"))
+
+
+def pattern_labels(spark, d):
+    """Texts with a marked section at their end, labelled by the first known word in it."""
+    raw = F.concat(F.lit("```toml\na = 1\n```"), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\nbad pattern: "), F.col("lang"))).otherwise(""))
+    body = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("# head\n"), F.substring_index(raw, "```", -1), F.lit(" stop"))).otherwise(F.substring_index(raw, "```", -1))
+    label = text.bad_pattern_label(body, ("en", "de", "fr"), ("bad pattern",), ("es",))
+    return X.table(spark, d, "documents").select("doc_id", label.alias("label"))
+
+
 _RECORD_COLS = ("task_id, baseline_passrate, candidate_passrate, relative_gain, threshold_ok, export_ok, baseline_over_limit, "
                 "candidate_under_limit, candidate_not_better, gain_too_small")
 _FULL = X.PAIRS + ", " + X.TASKS + ", records_full AS (SELECT r.*, task_type, domain, language FROM records r LEFT JOIN tasks ON pair_id = task_id // 1000)"
@@ -197,6 +229,13 @@ _PUBLISHED = """, published AS (
 ), mismatches AS (SELECT * FROM reconciled WHERE rule IS NOT NULL)"""
 
 QUERIES = {
+    "task_context": (task_context, """SELECT c_custkey AS task_id, CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE 'unknown' END AS kind, CASE WHEN c_custkey % 3 = 0 THEN n_name ELSE 'unknown' END AS place,
+        concat_ws(',', CASE WHEN NOT c_acctbal > 0 THEN 'kind' END, CASE WHEN c_custkey % 3 <> 0 THEN 'place' END) AS defaulted FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
+    "score_modes": (score_modes, f"""WITH {X.VERDICTS}, s AS (SELECT *, task_id % 1000 + task_id // 1000 AS t FROM rated) SELECT task_id, arm,
+        CASE WHEN t % 4 <> 0 AND t % 3 = 0 THEN 'custom' WHEN t % 4 <> 0 THEN 'fixed' ELSE 'free' END AS mode,
+        CASE WHEN t % 5 = 0 THEN 'no_session' WHEN reason IS NULL AND t % 7 <> 0 THEN 'already_scored' END AS skip FROM s"""),
+    "rescore_outcomes": (rescore_outcomes, f"WITH {X.PAIRS} SELECT count(*) FILTER (threshold_ok) AS n_passed, count(*) FILTER (NOT threshold_ok) AS n_failed FROM records"),
+    "pattern_labels": (pattern_labels, "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CASE lang WHEN 'es' THEN '' ELSE lang END ELSE '' END AS label FROM documents"),
     "pass_rates": (pass_rates, f"WITH {X.CRITERIA} SELECT task_id, arm, count(*) AS n_criteria, round(sum(coalesce(score, 0) * weight) / sum(points * weight), 6) AS passrate FROM criteria GROUP BY 1, 2"),
     "rubric_verdicts": (rubric_verdicts, f"WITH {X.VERDICTS} SELECT * FROM rated"),
     "rubric_listing": (rubric_listing, f"WITH {X.VERDICTS} SELECT coalesce(bool_or(reason IS NOT NULL), false) AS has_issue, count(reason) AS n_issues FROM rated"),

@@ -132,6 +132,10 @@ def salvaged(spark, d):
 _PROVIDER = """CASE WHEN len(list_filter(models, lambda m: contains(lower(m), 'qwen'))) > 0 THEN 'qwen'
   WHEN len(list_filter(models, lambda m: contains(lower(m), 'claude'))) > 0 THEN 'claude' ELSE 'unknown' END"""
 
+def worklist_totals(spark, d):
+    return collect_actions(spark, d).groupBy("action").agg(F.count(F.lit(1)).alias("n_runs"))
+
+
 _CUT = "CASE WHEN length(text) > {0} THEN left(text, {1}) || '...' ELSE coalesce(text, '') END"
 
 QUERIES = {
@@ -178,6 +182,8 @@ QUERIES = {
     "artifact_names": (artifact_names, """SELECT c_custkey, 'trajectories/a/a-' || lpad(c_custkey::VARCHAR, 6, '0') || '.jsonl' AS session_path, 'scores/b/b-' || lpad(c_custkey::VARCHAR, 6, '0') || '.quality.toml' AS score_path,
         coalesce(try_cast(substr((c_custkey + 20240101)::VARCHAR, 5, 2) AS INT)::VARCHAR, '') || substr((c_custkey + 20240101)::VARCHAR, 7, 2) AS date_part,
         'D--work-my-' || c_name AS slug, true AS valid FROM customer"""),
+    "worklist_totals": (worklist_totals, f"""WITH {X.CELLS} SELECT CASE WHEN status = 'done' AND task_id % 4 = 0 THEN 'force_collect' WHEN status = 'done' THEN 'already_done'
+        WHEN status = 'partial' THEN 'collect' WHEN status IN ('running', 'error', 'failed', 'timeout') THEN 'salvage' ELSE 'skip' END AS action, count(*) AS n_runs FROM cells WHERE stage = 'run' GROUP BY 1"""),
     "collect_actions": (collect_actions, f"""WITH {X.CELLS} SELECT task_id, arm, CASE WHEN status = 'done' AND task_id % 4 = 0 THEN 'force_collect' WHEN status = 'done' THEN 'already_done'
         WHEN status = 'partial' THEN 'collect' WHEN status IN ('running', 'error', 'failed', 'timeout') THEN 'salvage' ELSE 'skip' END AS action FROM cells WHERE stage = 'run'"""),
 }
