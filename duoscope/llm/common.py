@@ -166,3 +166,33 @@ def runs_of(hashes: np.ndarray, size: int) -> np.ndarray:
     for j in range(1, size):
         out = out + hashes[j : j + n] * factors[j]
     return mix64(out)
+
+
+#: Bits of a filter: 2**14 to 2**27 (16 MB), by the number of hashes.
+FILTER_BITS = (14, 27)
+
+
+class HashFilter:
+    """A broadcast bit table of 64-bit hashes: never a false negative, of bounded size.
+
+    ``hashes`` has one column of distinct values. With very many of them the table fills up
+    and lets more pass; what passes is compared exactly by the caller.
+    """
+
+    def __init__(self, spark: SparkSession, hashes: DataFrame):
+        low, high = FILTER_BITS
+        value = F.col(hashes.columns[0])
+        bits = min(high, max(low, int(hashes.count() * 16).bit_length()))
+        # At most 2**bits / 64 rows come back, however many hashes there are.
+        rows = hashes.groupBy(F.shiftright(value.bitwiseAND(F.lit((1 << bits) - 1)), 6).alias("at")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), value.bitwiseAND(F.lit(63)).cast("int"))).alias("set")
+        ).collect()
+        table = np.zeros((1 << bits) // 64, np.int64)
+        for r in rows:
+            table[r["at"]] = r["set"]
+        self.mask = np.uint64((1 << bits) - 1)
+        self.table = spark.sparkContext.broadcast(table.view(np.uint64))
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes & self.mask
+        return (self.table.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

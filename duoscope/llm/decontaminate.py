@@ -10,13 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from duoscope.llm.common import ALNUM, runs_of, stored, text_chunks, word_hashes, word_spans
+from duoscope.llm.common import ALNUM, HashFilter, runs_of, stored, text_chunks, word_hashes, word_spans
 
 WINDOW = 10
 SHINGLE = 3
 SALTS = 16
-#: Bits of the shingle filter that is sent to all tasks: 2**14 to 2**27 (16 MB), by the number of shingles.
-FILTER_BITS = (14, 27)
 
 WINDOWS = "item_id string, win string, n int, shingles array<bigint>"
 COUNTS = "shingle bigint, freq bigint"
@@ -54,29 +52,6 @@ def _item_windows(window: int, shingle: int):
     return run
 
 
-class ShingleFilter:
-    """Bits of the wanted shingles' low hash bits: no false negatives, bounded size."""
-
-    def __init__(self, spark, shingles: DataFrame):
-        n = shingles.count()
-        low, high = FILTER_BITS
-        bits = min(high, max(low, int(n * 16).bit_length()))
-        slot = F.col("shingle").bitwiseAND(F.lit((1 << bits) - 1))
-        # At most 2**bits / 64 rows come back, however many shingles there are.
-        rows = shingles.groupBy(F.shiftright(slot, 6).alias("at")).agg(
-            F.bit_or(F.expr(f"shiftleft(1L, cast(shingle & 63 as int))")).alias("set")
-        ).collect()
-        table = np.zeros((1 << bits) // 64, np.int64)
-        for r in rows:
-            table[r["at"]] = r["set"]
-        self.mask = np.uint64((1 << bits) - 1)
-        self.table = spark.sparkContext.broadcast(table.view(np.uint64))
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        slot = hashes & self.mask
-        return (self.table.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _hits(hashes: np.ndarray, rows: np.ndarray, sizes: list[int], wanted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of wanted shingles that lie inside one row, with their hashes."""
     ends = np.repeat(rows[1:], np.diff(rows))
@@ -162,7 +137,7 @@ def contamination(
         F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     vocabulary = windows.select(F.explode("shingles").alias("shingle")).distinct()
-    wanted = ShingleFilter(spark, vocabulary)
+    wanted = HashFilter(spark, vocabulary)
     rarity = rows.select("text").mapInArrow(_frequencies(sizes, wanted), COUNTS).groupBy("shingle").agg(
         F.sum("freq").alias("freq")
     )
@@ -174,7 +149,7 @@ def contamination(
     filed = stored(
         ranked.filter("best.freq > 0").select("win", "n", "items", "best.shingle", "best.offset"), "leaks"
     )
-    prefix = ShingleFilter(spark, filed.select("shingle").distinct())
+    prefix = HashFilter(spark, filed.select("shingle").distinct())
     kind = dict(rows.dtypes)["_key"]
     # Row numbers stay as they are once the rows are written.
     found = stored(

@@ -10,23 +10,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.llm.common import (
-    SPACED, mix64, runs_of, seeded, stored, text_chunks, word_hashes, word_spans,
+    SPACED, HashFilter, mix64, runs_of, seeded, stored, text_chunks, word_hashes, word_spans,
 )
 
 SHINGLE = 5
-#: A pair at 0.75 shares no band with probability (1 - 0.75**5)**40, about 2e-5.
-BANDS, ROWS = 40, 5
+#: A pair at 0.75 shares no band with probability (1 - 0.75**6)**48, below 1e-4.
+BANDS, ROWS = 48, 6
 HASHES = BANDS * ROWS
 #: Low bits kept of each minimum; equal by chance with probability 2**-BITS.
 BITS = 2
 PACKED = -(-HASHES * BITS // 64)
-#: Pairs whose estimate is lower are not confirmed: over five deviations below 0.75.
-ESTIMATE_FLOOR = 0.55
+#: Four deviations of the estimate at 0.75: pairs that lie further below it are not confirmed.
+DEVIATIONS = 4
+#: The finer signature of documents that are still apart in a bucket.
+FINE_HASHES, FINE_BITS = 1024, 4
+FINE_PACKED = FINE_HASHES * FINE_BITS // 64
 #: Comparisons of signatures in one bucket that one task should do.
 TASK_COMPARISONS = 4_000_000
-#: Comparisons in all that are preferred to another round of pivots.
-ALL_COMPARISONS = 50_000_000
-PIVOT_ROUNDS = 3
+#: Comparisons in all that are preferred to a round of pivots.
+FEW_COMPARISONS = 500_000
+PIVOT_ROUNDS = 1
 
 _SIG = [f"s{i}" for i in range(PACKED)]
 SKETCH = "doc bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, " + ", ".join(
@@ -52,7 +55,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
 
 
 def _minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.full(HASHES, np.uint64(2**64 - 1))
+    out = np.full(len(a), np.uint64(2**64 - 1))
     for at in range(0, len(shingles), 256):
         block = shingles[at : at + 256, None] * a
         block += b
@@ -60,6 +63,15 @@ def _minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _packed(minima: np.ndarray, bits: int, words: int) -> np.ndarray:
+    """The low bits of each row's minima, packed into 64-bit words."""
+    low = (mix64(minima) & np.uint64(2**bits - 1)).astype(np.uint8)
+    out = np.zeros((len(minima), words * 64), np.uint8)
+    for j in range(bits):
+        out[:, j : minima.shape[1] * bits : bits] = (low >> j) & 1
+    return np.packbits(out, axis=1, bitorder="little").view(np.int64)
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = seeded(HASHES, 11) | np.uint64(1), seeded(HASHES, 12)
     factors = seeded(ROWS, 13) | np.uint64(1)
@@ -79,11 +91,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sums[i] = mix64(np.array([at + i, i], np.uint64))
             banded = minima.reshape(n, BANDS, ROWS)
             keys = mix64((banded * factors).sum(axis=2, dtype=np.uint64) + seeded(BANDS, 14))
-            low = (mix64(minima) & np.uint64(2**BITS - 1)).astype(np.uint8)
-            bits = np.zeros((n, PACKED * 64), np.uint8)
-            for j in range(BITS):
-                bits[:, j : HASHES * BITS : BITS] = (low >> j) & 1
-            packed = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+            packed = _packed(minima, BITS, PACKED)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, (n + 1) * BANDS, BANDS), pa.int32()), pa.array(keys.view(np.int64).ravel())
             )
@@ -94,55 +102,107 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chosen(batches: Iterator[pa.RecordBatch], wanted: HashFilter) -> Iterator[pa.RecordBatch]:
+    """Rows whose id may be among the wanted ones."""
     for whole in batches:
-        for at in range(0, whole.num_rows, 512):
-            batch = whole.slice(at, 512)
+        live = wanted(whole.column("hash").to_numpy().view(np.uint64))
+        some = whole.filter(pa.array(live))
+        for at in range(0, some.num_rows, 512):
+            yield some.slice(at, 512)
+
+
+def _full_sets(wanted: HashFilter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _chosen(batches, wanted):
             sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"))]
             ends = np.cumsum([0, *map(len, sets)])
-            values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))],
+                [batch.column("doc"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))],
                 names=["doc", "shingles"],
             )
 
+    return run
+
+
+def _fine_signatures(wanted: HashFilter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = seeded(FINE_HASHES, 21) | np.uint64(1), seeded(FINE_HASHES, 22)
+        for batch in _chosen(batches, wanted):
+            minima = np.stack([_minima(s, a, b) for s in shingle_sets(batch.column("text"))])
+            packed = _packed(minima, FINE_BITS, FINE_PACKED)
+            ends = np.arange(0, (len(packed) + 1) * FINE_PACKED, FINE_PACKED)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(packed.ravel()))],
+                names=["doc", "fine"],
+            )
+
+    return run
+
+
+def _of_ids(texts: DataFrame, ids: DataFrame, step, schema: str) -> DataFrame:
+    """Apply a step to the texts of some documents (and perhaps a few others).
+
+    The ids are met as a bit table of bounded size where the texts are read, so texts are not shuffled.
+    """
+    wanted = HashFilter(texts.sparkSession, ids.select(F.xxhash64("doc").alias("hash")))
+    return stored(texts.withColumn("hash", F.xxhash64("doc")).mapInArrow(step(wanted), schema), "near")
+
+
+def _differing(x: Column, bits: int) -> Column:
+    """Number of slots of ``bits`` (2 or 4) bits that are not all zero."""
+    any_bit = x
+    for j in range(1, bits):
+        any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(x, j))
+    return F.bit_count(any_bit.bitwiseAND(F.lit(0x5555555555555555 if bits == 2 else 0x1111111111111111)))
+
 
 def _matches(left: str, right: str) -> Column:
     """Number of equal slots of two packed signatures."""
-    low = F.lit(0x5555555555555555)
     differ = F.lit(0)
     for s in _SIG:
-        x = F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))
-        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(low))
+        differ = differ + _differing(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}")), BITS)
     return F.lit(HASHES) - differ
 
 
-def estimate(matches: Column) -> Column:
+def _floor(hashes: int, bits: int, percent: int) -> float:
+    """Least number of equal slots that a pair at the threshold is likely to have.
+
+    Slots are also equal by chance; the expected share at a similarity j is
+    ``j + (1 - j) / 2**bits``.
+    """
+    share = percent / 100 + (1 - percent / 100) / 2**bits
+    return hashes * share - DEVIATIONS * (hashes * share * (1 - share)) ** 0.5
+
+
+def estimate(matches: Column, hashes: int = HASHES, bits: int = BITS) -> Column:
     """Similarity from the share of equal slots, less what chance makes equal."""
-    by_chance = 2.0**-BITS
-    return (matches / HASHES - by_chance) / (1 - by_chance)
+    by_chance = 2.0**-bits
+    return (matches / hashes - by_chance) / (1 - by_chance)
 
 
 def _similar(left: str, right: str, percent: int) -> Column:
     """Could this pair reach the threshold? By set sizes, then by estimate."""
     n, m = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (
-        estimate(_matches(left, right)) >= ESTIMATE_FLOOR
+        estimate(_matches(left, right)) >= estimate(F.lit(_floor(HASHES, BITS, percent)))
     )
 
 
+def _finely_similar(left: str, right: str, percent: int) -> Column:
+    slots = F.zip_with(f"{left}.fine", f"{right}.fine", lambda a, b: _differing(a.bitwiseXOR(b), FINE_BITS))
+    matches = F.lit(FINE_HASHES) - F.aggregate(slots, F.lit(0), lambda n, x: n + x)
+    return matches >= _floor(FINE_HASHES, FINE_BITS, percent)
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold.
 
     The sets of the b side are sent once per pair; those of the a side, which may
     stand in very many pairs, once per 512 of them, so no task gets more.
     """
-    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    sets = stored(
-        texts.join(ids, "doc", "left_semi").mapInArrow(_full_sets, "doc bigint, shingles array<bigint>"), "near"
-    )
-    salts = F.ceil(F.count(F.lit(1)) / 512).cast("int")
-    often = pairs.groupBy("a").agg(salts.alias("salts"))
+    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
+    sets = _of_ids(texts, ids, _full_sets, "doc bigint, shingles array<bigint>")
+    often = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 512).cast("int").alias("salts"))
     left = often.join(sets.withColumnsRenamed({"doc": "a", "shingles": "set_a"}), "a").select(
         "a", "set_a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     )
@@ -217,6 +277,31 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return stored(old.unionByName(step.join(labels.select("node"), "node", "left_anti")), "near")
 
 
+def _all_apart(opened: DataFrame, signatures: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """All pairs of one bucket in different components that could reach the threshold.
+
+    ``opened`` has every bucket's members with their component. Those outside a bucket's
+    largest component meet all its members; both signatures are compared inside
+    the join, so only pairs that pass come out of it. A bucket with much to compare is
+    dealt over several tasks.
+    """
+    fine = _of_ids(texts, opened.select("doc"), _fine_signatures, "doc bigint, fine array<bigint>")
+    salts = F.ceil(F.col("n") * F.col("minor") / TASK_COMPARISONS).cast("int")
+    known = opened.withColumn("salts", salts).join(signatures.join(fine, "doc"), "doc")
+    one = known.filter("root <> main").withColumn(
+        "salt", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int")
+    ).withColumnRenamed("doc", "b").alias("r")
+    other = known.withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    ).withColumnRenamed("doc", "a").alias("l")
+    apart = (F.col("l.root") != F.col("r.root")) & (
+        (F.col("l.root") == F.col("l.main")) | (F.col("a") < F.col("b"))
+    )
+    same = (F.col("l.band") == F.col("r.band")) & (F.col("l.salt") == F.col("r.salt"))
+    close = _similar("l", "r", percent) & _finely_similar("l", "r", percent)
+    return other.join(one, same & apart & close).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """One row per document: ``key, n_shingles, component_id, kept``.
 
@@ -250,8 +335,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
     signatures = reps.drop("bands")
     rows = reps.select("doc", F.explode("bands").alias("band"))
-    buckets = rows.groupBy("band").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = stored(rows.join(buckets, "band").select("band", "doc", "pivot").filter("pivot IS NOT NULL"), "near")
+    buckets = rows.groupBy("band").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
+    shared = stored(rows.join(buckets, "band").select("band", "doc", "low", "high"), "near")
 
     def likeliest(pairs: DataFrame) -> DataFrame:
         """Of each b's candidates a, the one with the highest estimate."""
@@ -261,45 +346,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         best = scored.groupBy("b").agg(F.max(F.struct(_matches("l", "r").alias("m"), (-F.col("a")).alias("a"))).alias("x"))
         return stored(best.select((-F.col("x.a")).alias("a"), "b"), "near")
 
-    tried = likeliest(shared.filter("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct())
+    # Two members of each bucket are its first pivots: the smallest and the largest.
+    ends = [
+        likeliest(shared.filter(f"doc <> {end}").select(F.col(end).alias("a"), F.col("doc").alias("b")).distinct())
+        for end in ("low", "high")
+    ]
+    tried = stored(ends[0].union(ends[1]).distinct(), "near")
     labels = _merged(None, _confirmed(tried, texts, percent))
 
+    found = True
     for turn in range(PIVOT_ROUNDS + 1):
         label = labels.withColumnRenamed("node", "doc")
         labelled = shared.select("band", "doc").join(label, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-        parts = labelled.groupBy("band", "root").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc")).alias("any")
+        # A bucket that lies in one component stays so; only the others go on.
+        apart = labelled.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+        shared = stored(labelled.join(apart.select("band"), "band", "left_semi"), "near")
+        # A member of each bucket and component, another one every turn: the first in an order by changed bits.
+        bits = F.xxhash64(F.lit(turn))
+        parts = shared.groupBy("band", "root").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.col("doc").bitwiseXOR(bits)).alias("any")
         )
         mixed = stored(
-            parts.groupBy("band").agg(
-                F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"),
-                F.max(F.struct("n", "root", F.col("any.doc").alias("pivot"))).alias("main"),
-            ).filter("roots > 1")
-            .select("band", "n", F.col("main.root").alias("main"), F.col("main.pivot").alias("pivot"), (F.col("n") - F.col("main.n")).alias("minor")),
+            parts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root", "any")).alias("main"))
+            .select("band", "n", F.col("main.root").alias("main"), F.col("main.any").bitwiseXOR(bits).alias("pivot"), (F.col("n") - F.col("main.n")).alias("minor")),
             "near",
         )
         work = mixed.agg(F.sum(F.col("n") * F.col("minor")).alias("w")).first()["w"]
         if not work:
             break
-        opened = stored(labelled.join(mixed, "band"), "near")
-        last = turn == PIVOT_ROUNDS or work <= ALL_COMPARISONS
+        opened = shared.join(mixed, "band")
+        last = turn == PIVOT_ROUNDS or work <= FEW_COMPARISONS or not found
         if last:
-            salts = F.ceil(F.col("n") * F.col("minor") / TASK_COMPARISONS).cast("int")
-            known = opened.withColumn("salts", salts).join(signatures, "doc")
-            one = known.filter("root <> main").withColumn(
-                "salt", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int")
-            ).withColumnRenamed("doc", "b").alias("r")
-            other = known.withColumn(
-                "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
-            ).withColumnRenamed("doc", "a").alias("l")
-            apart = (F.col("l.root") != F.col("r.root")) & (
-                (F.col("l.root") == F.col("l.main")) | (F.col("a") < F.col("b"))
-            )
-            pairs = (
-                other.join(one, (F.col("l.band") == F.col("r.band")) & (F.col("l.salt") == F.col("r.salt")) & apart & _similar("l", "r", percent))
-                .select("a", "b").distinct()
-            )
-            fresh = stored(pairs.join(tried, ["a", "b"], "left_anti"), "near")
+            fresh = stored(_all_apart(opened, signatures, texts, percent).join(tried, ["a", "b"], "left_anti"), "near")
         else:
             pairs = opened.filter("root <> main").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
             fresh = likeliest(pairs.join(tried, ["a", "b"], "left_anti"))
@@ -307,6 +385,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         labels = _merged(labels, links)
         if last:
             break
+        found = not links.isEmpty()
         tried = stored(tried.union(fresh), "near")
 
     root = F.coalesce("root", "class")
