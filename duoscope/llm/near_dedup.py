@@ -23,13 +23,13 @@ PACKED = -(-HASHES * BITS // 64)
 #: Four deviations of the estimate at 0.75: pairs that lie further below it are not confirmed.
 DEVIATIONS = 4
 #: The finer signature of documents that are still apart in a bucket.
-FINE_HASHES, FINE_BITS = 1024, 4
+FINE_HASHES, FINE_BITS = 2048, 4
 FINE_PACKED = FINE_HASHES * FINE_BITS // 64
 #: Comparisons of signatures in one bucket that one task should do.
 TASK_COMPARISONS = 4_000_000
 #: Comparisons in all that are preferred to a round of pivots.
 FEW_COMPARISONS = 500_000
-PIVOT_ROUNDS = 1
+PIVOT_ROUNDS = 2
 
 _SIG = [f"s{i}" for i in range(PACKED)]
 SKETCH = "doc bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, " + ", ".join(
@@ -277,17 +277,17 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return stored(old.unionByName(step.join(labels.select("node"), "node", "left_anti")), "near")
 
 
-def _all_apart(opened: DataFrame, signatures: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _all_apart(opened: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """All pairs of one bucket in different components that could reach the threshold.
 
     ``opened`` has every bucket's members with their component. Those outside a bucket's
     largest component meet all its members; both signatures are compared inside
-    the join, so only pairs that pass come out of it. A bucket with much to compare is
+    the join, so only pairs that pass come out of it, and only from the first of the bands that they share. A bucket with much to compare is
     dealt over several tasks.
     """
     fine = _of_ids(texts, opened.select("doc"), _fine_signatures, "doc bigint, fine array<bigint>")
     salts = F.ceil(F.col("n") * F.col("minor") / TASK_COMPARISONS).cast("int")
-    known = opened.withColumn("salts", salts).join(signatures.join(fine, "doc"), "doc")
+    known = opened.withColumn("salts", salts).join(reps.join(fine, "doc"), "doc")
     one = known.filter("root <> main").withColumn(
         "salt", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int")
     ).withColumnRenamed("doc", "b").alias("r")
@@ -298,7 +298,9 @@ def _all_apart(opened: DataFrame, signatures: DataFrame, texts: DataFrame, perce
         (F.col("l.root") == F.col("l.main")) | (F.col("a") < F.col("b"))
     )
     same = (F.col("l.band") == F.col("r.band")) & (F.col("l.salt") == F.col("r.salt"))
-    close = _similar("l", "r", percent) & _finely_similar("l", "r", percent)
+    shares = F.array_position(F.zip_with("l.bands", "r.bands", lambda x, y: x == y), F.lit(True))
+    once = F.element_at("l.bands", shares.cast("int")) == F.col("l.band")
+    close = _similar("l", "r", percent) & once & _finely_similar("l", "r", percent)
     return other.join(one, same & apart & close).select("a", "b").distinct()
 
 
@@ -358,17 +360,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     for turn in range(PIVOT_ROUNDS + 1):
         label = labels.withColumnRenamed("node", "doc")
         labelled = shared.select("band", "doc").join(label, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-        # A bucket that lies in one component stays so; only the others go on.
-        apart = labelled.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        shared = stored(labelled.join(apart.select("band"), "band", "left_semi"), "near")
+        if turn == 0:
+            # A bucket that lies in one component stays so; only the others go on.
+            apart = labelled.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+            labelled = labelled.join(apart.select("band"), "band", "left_semi")
+        shared = stored(labelled, "near")
         # A member of each bucket and component, another one every turn: the first in an order by changed bits.
         bits = F.xxhash64(F.lit(turn))
         parts = shared.groupBy("band", "root").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.col("doc").bitwiseXOR(bits)).alias("any")
         )
         mixed = stored(
-            parts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root", "any")).alias("main"))
-            .select("band", "n", F.col("main.root").alias("main"), F.col("main.any").bitwiseXOR(bits).alias("pivot"), (F.col("n") - F.col("main.n")).alias("minor")),
+            parts.groupBy("band").agg(F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"), F.max(F.struct("n", "root", "any")).alias("main"))
+            .filter("roots > 1").select("band", "n", F.col("main.root").alias("main"), F.col("main.any").bitwiseXOR(bits).alias("pivot"), (F.col("n") - F.col("main.n")).alias("minor")),
             "near",
         )
         work = mixed.agg(F.sum(F.col("n") * F.col("minor")).alias("w")).first()["w"]
@@ -377,10 +381,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         opened = shared.join(mixed, "band")
         last = turn == PIVOT_ROUNDS or work <= FEW_COMPARISONS or not found
         if last:
-            fresh = stored(_all_apart(opened, signatures, texts, percent).join(tried, ["a", "b"], "left_anti"), "near")
+            fresh = stored(_all_apart(opened, reps, texts, percent).join(tried, ["a", "b"], "left_anti"), "near")
         else:
             pairs = opened.filter("root <> main").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
-            fresh = likeliest(pairs.join(tried, ["a", "b"], "left_anti"))
+            fresh = stored(likeliest(pairs).join(tried, ["a", "b"], "left_anti"), "near")
         links = _confirmed(fresh, texts, percent)
         labels = _merged(labels, links)
         if last:
