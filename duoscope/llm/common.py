@@ -1,9 +1,7 @@
-"""Helpers shared by the operators: shared storage, order buckets, vectorised word hashing."""
+"""Helpers shared by the operators: folds, order parts, vectorised word hashing, bit-table filters."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,35 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duoscope.storage import shared_dir, stored  # noqa: F401  (for the operators)
+
 #: Bytes of text that a vectorised step handles at once; one longer text is a step of its own.
 CHUNK_BYTES = 1 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
-
-    Only a session without that setting (a local test) gets a temporary folder.
-    """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if path is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-        path = sc.getCheckpointDir()
-    return path
-
-
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Write the rows as Parquet into the shared folder and read them back.
-
-    This cuts the lineage: the rows survive the loss of the executors that made
-    them, and are computed once however often they are used.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def crc_fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
@@ -62,9 +37,13 @@ def order_bounds(df: DataFrame, key: str, parts: int) -> np.ndarray:
     return np.unique(np.array(cuts or [], dtype=np.int64))
 
 
-def default_parts(spark: SparkSession, rows: int, rows_per_part: int = 20_000) -> int:
-    """Parts of an ordered table: by rows, and at least two per shuffle partition."""
-    return max(rows // rows_per_part + 1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+def default_parts(spark: SparkSession, rows: int, rows_per_part: int = 20_000, most: int = 20_000) -> int:
+    """Parts of an ordered table: by rows, at least two per shuffle partition.
+
+    There are at most ``most`` of them, so that their bounds stay a small list; beyond that parts grow, and
+    their sorts spill.
+    """
+    return min(most, max(rows // rows_per_part + 1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 # ---- vectorised hashing of words in Arrow string arrays -------------------------------------

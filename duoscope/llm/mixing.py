@@ -78,7 +78,9 @@ def mix(
 
     Rows with an equal key (and null keys) cross the threshold together and
     share what is left evenly, rounded down, so the total can then stay below the
-    target by fewer words than there are such rows. Empty documents take 0. A
+    target by fewer words than there are such rows. Empty documents take 0. What is known of
+    each source is written and joined as the planner sees fit: broadcast while it is small,
+    else by a shuffle of ids and sizes. A
     null source is a source of its own. Existing columns of these names are
     replaced. An empty table gives no rows.
     """
@@ -111,7 +113,7 @@ def mix(
     for n in range(1, LEVELS + 1):
         if n > 1:
             inside = rows.join(
-                F.broadcast(state.select(F.col("_m_source").alias("_src"), "_cut")),  # a row per source
+                state.select(F.col("_m_source").alias("_src"), "_cut"),  # written, so its size is known to the planner
                 F.col("_m_source").eqNullSafe(F.col("_src")) & (_bucket(n - 1) == F.col("_cut")),
                 "left_semi",
             )
@@ -123,7 +125,7 @@ def mix(
         )
         # The first bucket that the budget does not fill; none when the budget is the whole.
         crossing = (
-            running.join(F.broadcast(state.select("_m_source", "_budget")), F.col("_src").eqNullSafe(F.col("_m_source")))
+            running.join(state.select("_m_source", "_budget"), F.col("_src").eqNullSafe(F.col("_m_source")))
             .filter(F.col("_below") + F.col("_s") > F.col("_budget"))
             .groupBy("_src").agg(F.min(F.struct("_b", "_below", "_s")).alias("_at"))
         )
@@ -139,16 +141,14 @@ def mix(
     # Rows on the threshold, and how many there are of each source (1 unless keys repeat).
     on_cut = (
         rows.join(
-            F.broadcast(state.select(F.col("_m_source").alias("_src"), "_cut")),
+            state.select(F.col("_m_source").alias("_src"), "_cut"),
             F.col("_m_source").eqNullSafe(F.col("_src")) & (F.col("_hash") == F.col("_cut")),
             "left_semi",
         )
         .filter("_m_size > 0").groupBy(F.col("_m_source").alias("_src")).agg(F.count(F.lit(1)).alias("_ties"))
     )
-    final = state.join(on_cut, F.col("_m_source").eqNullSafe(F.col("_src")), "left").drop("_src")
-    joined = rows.join(
-        F.broadcast(final.withColumnRenamed("_m_source", "_src")), F.col("_m_source").eqNullSafe(F.col("_src"))
-    )
+    final = stored(state.join(on_cut, F.col("_m_source").eqNullSafe(F.col("_src")), "left").drop("_src"), "mix")
+    joined = rows.join(final.withColumnRenamed("_m_source", "_src"), F.col("_m_source").eqNullSafe(F.col("_src")))
     below, at = F.col("_hash") < F.col("_cut"), F.col("_hash") == F.col("_cut")
     part = F.when(
         F.col("_ties") > 1, F.floor(F.col("_budget") * F.col("_m_size") / F.col("_cut_size"))

@@ -175,7 +175,8 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
         "part", F.coalesce(F.lead(head).over(across), F.first(head).over(whole)).alias("_wrap")
     )
     after = F.coalesce("_next", "_wrap")
-    return inside.join(F.broadcast(following), "part").select(
+    # The window has dealt and sorted its rows by part already, so only the heads move.
+    return inside.join(following, "part").select(
         "doc_id", "packed", "print", after["packed"].alias("next_packed"), after["print"].alias("next_print")
     )
 

@@ -314,7 +314,7 @@ def read_tokens(manifest: DataFrame, base: str) -> DataFrame:
     """Read the files of a manifest: per document its id, global start, length and checksum."""
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     back = manifest.select("part", "path").repartition(n, "part").mapInArrow(_read(base), BACK)
-    starts = F.broadcast(manifest.select("part", F.col("start").alias("_before")))  # a row per file
+    starts = manifest.select("part", F.col("start").alias("_before"))
     return back.join(starts, "part").select(
         "doc_id", (F.col("at") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32"
     )
