@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duoscope.llm.common import crc_fold, held_out, mix64, stored
+from duoscope.llm.common import crc_fold, held_out, mix64, shared_dir, stored
 
 #: Characters of the longest n-gram; a code holds four UTF-16 units in 64 bits.
 ORDER = 4
 DISCOUNT = 0.75
-#: An n-gram enters a language's model from this share of its n-grams on, so a model
-#: has at most 1 / LEAST_SHARE of each order, however large the corpus.
-LEAST_SHARE = 1e-6
+#: Bytes of one file of a model, and how many of them a worker holds open; a model has as many files as it needs.
+FILE_BYTES, OPEN_FILES = 1 << 22, 32
 #: Share of its calibration documents whose cross-entropy a language accepts.
 ACCEPTED = 0.995
 UNITS = 1 << 18
@@ -167,34 +169,205 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_count, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def model_rows(counts: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
-    """Counts of all orders that the models need: ``lang, n_chars, code, n, total``.
+def _wide(rows: DataFrame, key: str, value, languages: list[str], missing: float) -> DataFrame:
+    """``key, values``: an array of one value per language; a language has at most one row of a key."""
+    by_name = F.map_from_entries(F.collect_list(F.struct("lang", value)))
+    names = F.array(*[F.lit(x) for x in languages])
+    return rows.groupBy(key).agg(by_name.alias("_m")).select(
+        key, F.transform(names, lambda x: F.coalesce(F.try_element_at("_m", x), F.lit(missing))).alias("values")
+    )
 
-    The longest n-grams count how often they occur, lower ones how many different
-    characters stand before them. Each row's ``total`` is what its context has in
-    all, rows left out for their small share included, so that their weight goes to
-    the lower order.
+
+def _product(a: str, b: str):
+    return F.zip_with(a, b, lambda x, y: x * y)
+
+
+def model_levels(counts: DataFrame, languages: list[str], discount: float = DISCOUNT) -> tuple[list[tuple[int, DataFrame]], np.ndarray]:
+    """Probabilities of all counted n-grams as ``(kind, rows of code, values)``, and the floor of each language.
+
+    Kind k holds P(last character | those before) of n-grams of k characters and kind -k the
+    weight that contexts of k characters leave to the next lower order, each with one value per
+    language. The longest n-grams count how often they occur, lower ones how many different
+    characters stand before them. Every order is joined to the next lower one, so nothing but a value per language
+    comes to the driver.
     """
-    level, out = counts, None
-    for k in range(ORDER, 0, -1):
-        if k < ORDER:
-            level = level.groupBy("lang", F.expr(f"code & {(1 << (16 * k)) - 1}L").alias("code")).agg(
-                F.count(F.lit(1)).alias("n")
+    levels = {ORDER: counts}
+    for k in range(ORDER - 1, 0, -1):
+        levels[k] = stored(
+            levels[k + 1].groupBy("lang", F.expr(f"code & {(1 << (16 * k)) - 1}L").alias("code")).agg(F.count(F.lit(1)).alias("n")),
+            "language",
+        )
+    context = F.shiftrightunsigned("code", 16)
+    kinds, floor, lower = [], np.zeros(len(languages)), None
+    for k in range(1, ORDER + 1):
+        totals = levels[k].groupBy("lang", context.alias("context")).agg(
+            F.sum("n").alias("total"), F.sum(F.greatest(F.col("n") - discount, F.lit(0.0))).alias("used")
+        )
+        left = _wide(totals, "context", 1 - F.col("used") / F.col("total"), languages, 1.0)
+        shares = levels[k].withColumn("context", context).join(totals, ["lang", "context"])
+        own = _wide(shares, "code", F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total"), languages, 0.0)
+        if lower is None:
+            alphabet = levels[1].agg(F.count_distinct("code")).first()[0] + 1  # and one for all that was never seen
+            free = np.array(left.first()["values"]) / alphabet  # the only context: a value per language
+            floor = np.log2(free)
+            rest = F.array(*[F.lit(float(x)) for x in free])
+            rows = own.select("code", F.zip_with("values", rest, lambda x, y: x + y).alias("values"))
+        else:
+            left = stored(left, "language")
+            kinds.append((1 - k, left.withColumnRenamed("context", "code")))
+            below = lower.select(F.col("code").alias("suffix"), F.col("values").alias("below"))
+            rows = (
+                own.withColumn("context", context).withColumn("suffix", F.expr(f"code & {(1 << (16 * (k - 1))) - 1}L"))
+                .join(left.withColumnRenamed("values", "left"), "context").join(below, "suffix")
+                .select("code", F.zip_with("values", _product("left", "below"), lambda x, y: x + y).alias("values"))
             )
-        whole = level.groupBy("lang").agg(F.sum("n").alias("all"))
-        context = F.shiftrightunsigned("code", 16).alias("context")
-        totals = level.groupBy("lang", context).agg(F.sum("n").alias("total"))
-        rows = (
-            level.join(F.broadcast(whole), "lang").filter(F.col("n") >= F.lit(least) * F.col("all"))  # a row per language
-            .withColumn("context", context).join(totals, ["lang", "context"])
-            .select("lang", F.lit(k).alias("n_chars"), "code", "n", "total")
+        lower = stored(rows, "language")
+        kinds.append((k, lower))
+    return kinds, floor
+
+
+def _write_model(base: str, width: int):
+    """Files of sorted codes and their values, each of one kind; a row per file comes out."""
+    most = max(1, FILE_BYTES // (8 + 4 * width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = fs.FileSystem.from_uri(base)
+        store.create_dir(folder)
+        schema = pa.schema([("code", pa.int64()), ("values", pa.list_(pa.float32(), width))])
+        done, codes, values, held, kind = [], [], [], 0, None
+
+        def flush():
+            nonlocal codes, values, held
+            if held:
+                code = np.concatenate(codes)
+                row = pa.RecordBatch.from_arrays(
+                    [pa.array(code), pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(values)), width)], schema=schema
+                )
+                # Only files of attempts that succeeded are in the list, so each attempt's have names of their own.
+                path = f"{folder}/{uuid.uuid4().hex}"
+                with store.open_output_stream(path) as sink, pa.ipc.new_file(sink, schema) as file:
+                    file.write_batch(row)
+                done.append((kind, int(code[0]), path))
+            codes, values, held = [], [], 0
+
+        for batch in batches:
+            of = batch.column("kind").to_numpy()
+            code = batch.column("code").to_numpy()
+            value = batch.column("values").flatten().to_numpy().astype(np.float32)
+            cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                if of[begin] != kind:
+                    flush()
+                    kind = int(of[begin])
+                while begin < end:
+                    upto = min(end, begin + most - held)
+                    codes.append(code[begin:upto])
+                    values.append(value[begin * width : upto * width])
+                    held += upto - begin
+                    begin = upto
+                    if held == most:
+                        flush()
+        flush()
+        columns = list(zip(*done)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.string()))], names=["kind", "first", "path"]
         )
-        out = rows if out is None else out.union(rows)
-    return out
+
+    return run
+
+
+class Model:
+    """All languages' n-grams in files of the shared folder, found by the first code of each file.
+
+    Only the list of the files travels to the workers. They map the files where the folder is a mounted one and
+    otherwise read them whole, at most ``OPEN_FILES`` at a time.
+    """
+
+    def __init__(self, languages: list[str], floor: np.ndarray, base: str, files: list[tuple[int, int, str]]):
+        self.languages, self.floor, self.base = languages, floor, base
+        self.files = {}
+        for kind in {f[0] for f in files}:
+            mine = sorted(f[1:] for f in files if f[0] == kind)
+            self.files[kind] = np.array([f[0] for f in mine], np.int64), [f[1] for f in mine]
+        self._open: OrderedDict | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_open": None}
+
+    def _read(self, path: str) -> tuple[np.ndarray, np.ndarray]:
+        if self._open is None:
+            self._open = OrderedDict()
+        if path in self._open:
+            self._open.move_to_end(path)
+            return self._open[path]
+        store, _ = fs.FileSystem.from_uri(self.base)
+        if isinstance(store, fs.LocalFileSystem):
+            store = fs.LocalFileSystem(use_mmap=True)
+        batch = pa.ipc.open_file(store.open_input_file(path)).get_batch(0)
+        found = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(-1, len(self.languages))
+        self._open[path] = found
+        if len(self._open) > OPEN_FILES:
+            self._open.popitem(last=False)
+        return found
+
+    def _find(self, kind: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the codes have a row, and the rows of those, as log2."""
+        firsts, paths = self.files.get(kind, (np.zeros(0, np.int64), []))
+        wanted, back = np.unique(codes.view(np.int64), return_inverse=True)
+        hit, row = np.zeros(len(wanted), bool), np.zeros((len(wanted), len(self.languages)), np.float32)
+        which = np.searchsorted(firsts, wanted, side="right") - 1
+        for f in np.unique(which[which >= 0]).tolist():
+            lo, hi = np.searchsorted(which, [f, f + 1])
+            table, rows = self._read(paths[f])
+            at = np.minimum(np.searchsorted(table, wanted[lo:hi]), len(table) - 1)
+            hit[lo:hi] = table[at] == wanted[lo:hi]
+            row[lo:hi] = rows[at]
+        found, values = hit[back], row[back]
+        return found, values[found]
+
+    def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
+        """log2 P of each code's last character by language."""
+        if not self.languages:
+            return np.zeros((len(codes), 0), np.float32)
+        wanted, back = np.unique(codes, return_inverse=True)
+        out = np.zeros((len(wanted), len(self.languages)), np.float32)
+        todo = np.arange(len(wanted))
+        for k in range(ORDER, 0, -1):
+            part = _suffix(wanted[todo], k)
+            found, rows = self._find(k, part)
+            out[todo[found]] += rows
+            todo, part = todo[~found], part[~found]
+            if not len(todo):
+                return out[back]
+            if k > 1:
+                found, rows = self._find(1 - k, part >> _U(16))
+                out[todo[found]] += rows
+        out[todo] += self.floor
+        return out[back]
+
+
+def learn(counts: DataFrame) -> Model:
+    """Interpolated Kneser-Ney models of all languages of ``lang, code, n``, from every n-gram that was counted."""
+    spark = counts.sparkSession
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    base = f"{shared_dir(spark).rstrip('/')}/language-model-{uuid.uuid4().hex}"
+    if not languages:
+        return Model([], np.zeros(0), base, [])
+    kinds, floor = model_levels(counts, languages)
+    rows = None
+    for kind, level in kinds:
+        part = level.select(F.lit(kind).alias("kind"), "code", F.transform("values", lambda x: F.log2(x).cast("float")).alias("values"))
+        rows = part if rows is None else rows.union(part)
+    dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "kind", "code").sortWithinPartitions("kind", "code")
+    # A row per file of FILE_BYTES.
+    files = dealt.mapInArrow(_write_model(base, len(languages)), "kind int, first bigint, path string").collect()
+    return Model(languages, floor, base, [(r["kind"], r["first"], r["path"]) for r in files])
 
 
 def build_tables(rows: dict[str, np.ndarray], discount: float = DISCOUNT) -> Tables:
-    """Interpolated Kneser-Ney models from the rows of :func:`model_rows` (as columns)."""
+    """The models of :func:`learn` in memory, from columns ``lang, n_chars, code, n, total``; tests hold the files against it."""
     names = sorted(set(rows["lang"].tolist()))
     number = {n: i for i, n in enumerate(names)}
     lang = np.array([number[x] for x in rows["lang"].tolist()], np.int64)
@@ -261,7 +434,7 @@ class Calibration:
     shift: float
 
 
-def _entropies(tables: Tables, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _entropies(tables: Tables | Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bits per character by text and language, and the number of characters."""
     codes, ends = grams(texts)
     sizes = np.diff(ends)
@@ -274,7 +447,7 @@ def _entropies(tables: Tables, texts: list[str]) -> tuple[np.ndarray, np.ndarray
 
 def _predict(shared, calibration: Calibration | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: Tables = shared.value
+        tables: Model = shared.value
         names = np.array([*tables.languages, UNKNOWN], object)
         for batch in batches:
             best, entropy, margin, size = [], [], [], []
@@ -348,10 +521,7 @@ def identify(docs: DataFrame, training: DataFrame, fold=None, text: str = "text"
     calibrating = F.lit(False) if fold is None else fold
     useful = training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("_fold", calibrating)
     counts = stored(gram_counts(useful.filter(~F.col("_fold")).select("lang", "text")), "language")
-    # Bounded by the least share: at most ORDER / LEAST_SHARE rows of a language.
-    rows = model_rows(counts).toPandas()
-    tables = build_tables({c: rows[c].to_numpy() for c in rows.columns})
-    shared = spark.sparkContext.broadcast(tables)
+    shared = spark.sparkContext.broadcast(learn(counts))
     sample = useful.filter("_fold").select("lang", F.col("text").alias("_text"))
     tried = stored(sample.mapInArrow(_predict(shared, None), f"lang string, {_SCORED}").filter(f"lang_pred <> '{UNKNOWN}'"), "language")
     calibration = _fit_calibration(tried)

@@ -331,6 +331,38 @@ def test_languages_without_training_and_with_clashing_columns(spark):
     assert language_id.identify(df.filter("false"), df).collect() == []
 
 
+def plain_tables(texts):
+    """The model in memory from all n-grams of ``{language: texts}``."""
+    rows = {"lang": [], "n_chars": [], "code": [], "n": [], "total": []}
+    for name, mine in texts.items():
+        codes, n = np.unique(language_id.grams(mine)[0], return_counts=True)
+        for k in range(4, 0, -1):
+            if k < 4:
+                codes, n = np.unique(codes & np.uint64((1 << 16 * k) - 1), return_counts=True)
+            _, of = np.unique(codes >> np.uint64(16), return_inverse=True)
+            total = np.bincount(of, weights=n)[of].astype(np.int64)
+            for column, value in zip(rows, ([name] * len(codes), [k] * len(codes), codes, n, total)):
+                rows[column].append(value)
+    return language_id.build_tables({c: np.concatenate(v) for c, v in rows.items()})
+
+
+def test_rare_ngrams_of_a_large_corpus_are_kept(spark, monkeypatch):
+    # Two million characters of one language, where a word stands once; files of a few rows, so that there are many.
+    monkeypatch.setattr(language_id, "FILE_BYTES", 24 * 100)
+    r = random.Random(5)
+    draw = lambda letters, n: " ".join("".join(r.choices(letters, k=r.randrange(2, 8))) for _ in range(n))
+    texts = {"aa": [(draw("abcdefgh", 50) + " ") * 200 for _ in range(40)] + ["zyxwv"], "bb": [draw("efghijkl", 60) for _ in range(50)]}
+    assert sum(map(len, texts["aa"])) > 2_000_000
+    training = spark.createDataFrame([(k, t) for k, v in texts.items() for t in v], "lang string, text string")
+    model = language_id.learn(common.stored(language_id.gram_counts(training), "test"))
+    want = plain_tables(texts)
+    assert model.languages == want.languages and sum(len(f[1]) for f in model.files.values()) > 10
+    codes, _ = language_id.grams(["zyxwv zyxwv", draw("abcdefgh", 30), draw("ghijklmn", 30), "\u03a9 q\U0001d400 zyx"])
+    assert np.allclose(model.log_probabilities(codes), want.log_probabilities(codes), atol=1e-3)
+    rare, _ = language_id.grams(["zyxwv"])
+    assert model.log_probabilities(rare)[3:, 0].min() > -3
+
+
 # ---- pipeline -------------------------------------------------------------
 
 
