@@ -19,22 +19,25 @@ K = 5
 TUPLES = 64
 PER_TUPLE = 2
 
+#: K-mers that are ranked in all orders at once.
+BLOCK = 4096
+
 _U = np.uint64
+_MOST = np.uint32(0xFFFFFFFF)
 
 
 def fingerprint(text: str, k: int = K, tuples: int = TUPLES, per_tuple: int = PER_TUPLE) -> np.ndarray:
-    """``tuples`` 16-bit values; 0 where no k-mer fell.
+    """``tuples`` 16-bit values; all 0 for an empty text, which has no k-mer.
 
-    Each k-mer with its occurrence number gets one hash; the leading bits deal
-    the k-mers over the tuples, so one hash serves as an independent order for each.
-    Of every tuple's k-mers the ``per_tuple`` smallest are selected, put in text order and
-    hashed together. A text shorter than k is one k-mer; an empty text has none.
+    Each k-mer with its occurrence number gets one hash, and every tuple has an order of its own
+    over all of them: the hash mixed with the tuple's seed. The ``per_tuple`` smallest of each order are put in
+    text order and hashed together. A text shorter than k is one k-mer; one with fewer than ``per_tuple``
+    k-mers has all of them in each tuple.
     """
     units = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(_U)
     n = len(units)
-    out = np.zeros(tuples, np.uint16)
     if not n:
-        return out
+        return np.zeros(tuples, np.uint16)
     size = min(k, n)
     mixed = mix64(units + _U(size << 32))
     factors = seeded(size, 400 + size) | _U(1)
@@ -49,34 +52,39 @@ def fingerprint(text: str, k: int = K, tuples: int = TUPLES, per_tuple: int = PE
     fresh[1:] = ranked[1:] != ranked[:-1]
     starts = np.flatnonzero(fresh)
     occurrence = np.arange(m) - np.repeat(starts, np.diff(np.append(starts, m)))
-    hashes = mix64(ranked + occurrence.astype(_U) * _U(0xD6E8FEB86659FD93))
-    bits = tuples.bit_length() - 1
-    # Only small values can be among the smallest of a tuple; the rest is looked at where they are too few.
-    low_bits = _U(64 - bits)
-    bound = (1 << (64 - bits)) - 1
-    if m > 64 * tuples:
-        bound = (bound // m) * tuples * 16
-    while True:
-        chosen = np.flatnonzero((hashes & _U((1 << (64 - bits)) - 1)) <= _U(bound))
-        values = hashes[chosen]
-        if bound >= (1 << (64 - bits)) - 1 or np.bincount((values >> low_bits).astype(np.int64), minlength=tuples).min() >= per_tuple:
-            break
-        bound = (1 << (64 - bits)) - 1
-    by_value = np.argsort(values)
-    values, places = values[by_value], order[chosen[by_value]]
-    deal = (values >> low_bits).astype(np.int64)
-    first = np.searchsorted(deal, np.arange(tuples))
-    rank = np.arange(len(values)) - first[deal]
-    picked = rank < per_tuple
-    values, places, deal = values[picked], places[picked], deal[picked]
-    in_text = np.lexsort((places, deal))
-    values, deal = values[in_text], deal[in_text]
-    first = np.searchsorted(deal, np.arange(tuples))
-    rank = np.arange(len(values)) - first[deal]
-    sums = np.zeros(tuples, _U)
-    np.add.at(sums, deal, mix64(values ^ (rank.astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15)))
-    filled = np.bincount(deal, minlength=tuples) > 0
-    return np.where(filled, np.maximum(mix64(sums) >> _U(48), _U(1)), _U(0)).astype(np.uint16)
+    hashes = np.empty(m, _U)
+    hashes[order] = mix64(ranked + occurrence.astype(_U) * _U(0xD6E8FEB86659FD93))
+    places = np.sort(_smallest((hashes >> _U(32)).astype(np.uint32), tuples, min(per_tuple, m)), axis=1)
+    chosen = hashes[places] ^ np.arange(1, places.shape[1] + 1).astype(_U) * _U(0x9E3779B97F4A7C15)
+    sums = mix64(chosen).sum(axis=1, dtype=_U)
+    return np.maximum(mix64(sums) >> _U(48), _U(1)).astype(np.uint16)
+
+
+def _smallest(hashes: np.ndarray, tuples: int, count: int) -> np.ndarray:
+    """Places of the ``count`` smallest of all hashes in each tuple's own order (of equal ones the first in the text)."""
+    seeds = (seeded(tuples, 64) >> _U(32)).astype(np.uint32)[:, None]
+    rows = np.arange(tuples)
+    best, where = np.zeros((tuples, 0), np.uint32), np.zeros((tuples, 0), np.int64)
+    room = np.empty((2, tuples * min(BLOCK, len(hashes))), np.uint32)
+    for at in range(0, len(hashes), BLOCK):
+        block = hashes[None, at : at + BLOCK]
+        x, high = (part[: tuples * block.shape[1]].reshape(tuples, -1) for part in room)
+        np.bitwise_xor(block, seeds, out=x)
+        x *= np.uint32(0x85EBCA6B)
+        x ^= np.right_shift(x, np.uint32(15), out=high)
+        x *= np.uint32(0xC2B2AE35)
+        x ^= np.right_shift(x, np.uint32(16), out=high)
+        values, places = [best], [where]
+        for _ in range(min(count, x.shape[1])):
+            p = x.argmin(axis=1)
+            values.append(x[rows, p][:, None])
+            places.append(p[:, None] + at)
+            x[rows, p] = _MOST
+        best, where = np.concatenate(values, axis=1), np.concatenate(places, axis=1)
+        if best.shape[1] > count:
+            keep = np.argsort(best, axis=1, kind="stable")[:, :count]
+            best, where = np.take_along_axis(best, keep, 1), np.take_along_axis(where, keep, 1)
+    return where
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

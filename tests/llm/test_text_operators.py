@@ -222,6 +222,33 @@ def test_order_counts():
     assert like(print_of(same), print_of(mixed)) < like(print_of(same), print_of(turned)) < 1
 
 
+@pytest.mark.parametrize("size", [10, 20, 40, 80, 130])
+def test_order_counts_in_short_texts(size):
+    r = random.Random(size)
+    print_of, like = order_minhash.fingerprint, order_minhash.likeness
+    seen = []
+    for _ in range(40):
+        # A turned text keeps all k-mers but those over the seam; only their order is another.
+        text = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+        half = text + text[:4]
+        turned = half[size // 2 : size] + half[: size // 2 + 4]
+        assert (print_of(text) != 0).all() and like(print_of(text), print_of(text[:])) == 1
+        seen.append(like(print_of(text), print_of(turned)))
+    assert np.mean(seen) < 0.55
+
+
+def test_tuples_hold_the_smallest_of_all_kmers():
+    r = np.random.default_rng(3)
+    for n in (1, 2, 5, 4095, 4096, 4097, 9000):
+        hashes = r.integers(0, 1 << 32, n, dtype=np.uint32)
+        x = hashes[None] ^ (common.seeded(64, 64) >> np.uint64(32)).astype(np.uint32)[:, None]
+        x = x * np.uint32(0x85EBCA6B)
+        x = (x ^ x >> np.uint32(15)) * np.uint32(0xC2B2AE35)
+        x = x ^ x >> np.uint32(16)
+        count = min(2, n)
+        assert (order_minhash._smallest(hashes, 64, count) == np.argsort(x, axis=1, kind="stable")[:, :count]).all()
+
+
 # ---- quality --------------------------------------------------------------
 
 
