@@ -47,6 +47,15 @@ def retry_outcomes(spark, d):
     return L.retry_outcomes(before, state(spark, d))
 
 
+def retry_outcomes_all(spark, d):
+    """The earlier ledger is all writes up to the middle one."""
+    writes = X.ledger_writes(spark, d).withColumn("arm", F.coalesce("arm", F.lit("")))
+    middle = writes.agg(F.expr("max(seq) div 2").alias("middle"))
+    early = writes.crossJoin(middle).filter("seq <= middle").drop("middle")
+    before = L.retryable(L.current_state(early).withColumn("arm", F.nullif("arm", F.lit(""))))
+    return L.retry_outcomes(before, state(spark, d))
+
+
 def run_status(spark, d):
     """Events of a user as turns: errors fail, purchases know the session, five turns are expected per arm."""
     turns = X.table(spark, d, "events").select(
@@ -99,4 +108,8 @@ QUERIES = {
         before AS (SELECT task_id, stage, arm, arg_max(status, seq) FILTER (status IS NOT NULL) AS status FROM early WHERE NOT deleted AND seq > gone GROUP BY 1, 2, 3)
         SELECT CASE WHEN s.status = 'done' THEN 'succeeded' WHEN s.status = 'permanently_failed' THEN 'permanently_failed' WHEN s.status IN ('failed', 'partial', 'draft') THEN 'still_failed' ELSE 'remaining' END AS outcome, count(*) AS n
         FROM before b LEFT JOIN state s ON s.task_id = b.task_id AND s.stage = b.stage AND s.arm IS NOT DISTINCT FROM b.arm WHERE b.status IN ('failed', 'partial', 'draft') GROUP BY 1"""),
+    "retry_outcomes_all": (retry_outcomes_all, f"""WITH {X.STATE}, early AS (SELECT *, coalesce(max(seq) FILTER (deleted) OVER (PARTITION BY task_id, stage, arm), -1) AS gone FROM coded WHERE seq <= (SELECT max(seq) // 2 FROM coded)),
+        before AS (SELECT task_id, stage, arm, arg_max(status, seq) FILTER (status IS NOT NULL) AS status FROM early WHERE NOT deleted AND seq > gone GROUP BY 1, 2, 3)
+        SELECT CASE WHEN s.status = 'done' THEN 'succeeded' WHEN s.status = 'permanently_failed' THEN 'permanently_failed' WHEN s.status IN ('failed', 'partial', 'draft') THEN 'still_failed' ELSE 'remaining' END AS outcome, count(*) AS n
+        FROM before b LEFT JOIN state s ON s.task_id = b.task_id AND s.stage = b.stage AND s.arm IS NOT DISTINCT FROM b.arm WHERE b.status IN ('failed', 'partial', 'draft') GROUP BY 1"""),
 }

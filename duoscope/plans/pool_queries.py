@@ -24,6 +24,13 @@ def merged_pool(spark, d):
     return P.merge_pool(old, new)
 
 
+def merged_pool_all(spark, d):
+    """Every part ever ordered as the old pool, all parts as the new one."""
+    pool = X.pool(spark, d)
+    ordered = X.table(spark, d, "lineitem").select(F.col("l_partkey").alias("repo")).distinct()
+    return P.merge_pool(pool.join(ordered, "repo", "left_semi"), pool.withColumn("pos", -F.col("pos")))
+
+
 def round_robin(spark, d):
     return P.round_robin(X.pool(spark, d), X.PEOPLE)
 
@@ -74,6 +81,11 @@ def slot_expansion(spark, d):
     return P.expand_slots(rows.filter("slot % 17 = 0"), rows, 4)
 
 
+def slot_expansion_all(spark, d):
+    rows = slots(spark, d)
+    return P.expand_slots(rows, rows, 4)
+
+
 def weighted_sample(spark, d):
     return P.weighted_sample(X.pool(spark, d), "repo", "price", 50, 7).select("repo", F.round("draw", 9).alias("draw"))
 
@@ -126,6 +138,14 @@ QUERIES = {
         o AS (SELECT s.slot AS seed, row_number() OVER (PARTITION BY s.slot ORDER BY f.slot) AS k, f.slot, f.task_type FROM seeds s JOIN firsts f ON s.domain = f.domain AND s.language = f.language AND s.task_type <> f.task_type)
         SELECT s.slot AS seed, t.k::INT AS k, CASE WHEN o.slot IS NULL THEN s.slot ELSE o.slot END AS slot, coalesce(o.task_type, s.task_type) AS task_type
         FROM seeds s CROSS JOIN range(0, 4) t(k) LEFT JOIN o ON o.seed = s.slot AND o.k = t.k"""),
+    "merged_pool_all": (merged_pool_all, f"""WITH {X.POOL}, b AS (SELECT key, repo, pos, 0 AS src FROM pool WHERE repo IN (SELECT l_partkey FROM lineitem) UNION ALL SELECT key, repo, -pos, 1 FROM pool),
+        f AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY key, repo ORDER BY src, pos) = 1)
+        SELECT key, repo, src, row_number() OVER (PARTITION BY key ORDER BY src, pos, repo) AS pos FROM f"""),
+    "slot_expansion_all": (slot_expansion_all, """WITH slots AS (SELECT p_partkey AS slot, p_type AS task_type, p_brand AS domain, p_size % 3 AS language FROM part),
+        firsts AS (SELECT domain, language, task_type, min(slot) AS slot FROM slots GROUP BY 1, 2, 3),
+        o AS (SELECT s.slot AS seed, row_number() OVER (PARTITION BY s.slot ORDER BY f.slot) AS k, f.slot, f.task_type FROM slots s JOIN firsts f ON s.domain = f.domain AND s.language = f.language AND s.task_type <> f.task_type)
+        SELECT s.slot AS seed, t.k::INT AS k, CASE WHEN o.slot IS NULL THEN s.slot ELSE o.slot END AS slot, coalesce(o.task_type, s.task_type) AS task_type
+        FROM slots s CROSS JOIN range(0, 4) t(k) LEFT JOIN o ON o.seed = s.slot AND o.k = t.k"""),
     "weighted_sample": (weighted_sample, f"WITH {X.POOL}, d AS (SELECT repo, -ln((('0x' || substr(md5('7:' || repo), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) / price AS draw FROM pool WHERE price > 0) SELECT repo, round(draw, 9) AS draw FROM d ORDER BY d.draw, repo LIMIT 50"),
     "next_id": (next_id, "SELECT 'CT-' || lpad((max(c_custkey) + 1)::VARCHAR, greatest(4, length((max(c_custkey) + 1)::VARCHAR))::INT, '0') AS next_id FROM customer"),
 }
