@@ -32,10 +32,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark: each row by its own id and text, whether the id is null or repeated."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    leaks = contamination(docs.select("doc_id", "text"), items).filter("contaminated").select("doc_id")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    own = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))), 256)
+    rows = docs.withColumn("_row", own)
+    leaks = contamination(rows.select("_row", "text"), items, key="_row").filter("contaminated").select("_row").distinct()
+    return rows.join(leaks, "_row", "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

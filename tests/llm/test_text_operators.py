@@ -417,3 +417,12 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert set(kept[3]) <= set(kept[2]) and max(kept[3].count(i) for i in kept[3]) <= 3
     check_tokens([text[i] for i in kept[3]], by_stage[4].collect())
     assert sorted(map(str, corpus_pipeline.run(spark, path).collect())) == sorted(map(str, by_stage[4].collect()))
+
+
+def test_pipeline_judges_rows_with_null_and_repeated_ids_by_themselves(spark, tmp_path):
+    passage = sentence(77_777, 30)
+    leak = sentence(5, 20) + " " + passage
+    rows = [row(None, leak), row(None, sentence(11, 40)), row(7, leak), row(7, sentence(12, 40)), row(8, sentence(13, 40)), row(9, None)]
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = corpus_pipeline.decontaminate(spark, frame(spark, rows), str(tmp_path)).collect()
+    assert sorted(((x.doc_id, x.text) for x in out), key=repr) == sorted(((r[0], r[1]) for r in rows if r[1] != leak), key=repr)
