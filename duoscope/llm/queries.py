@@ -6,7 +6,7 @@ import corpus_pipeline
 from duoscope.llm import oracle_sql as oracle_sql_of
 from duoscope.llm import (
     crf_quality, decontaminate, language_id, mixing, near_dedup, order_minhash, secrets, shards,
-    token_files, url_rules,
+    suffix_tree, token_files, url_rules,
 )
 
 
@@ -22,6 +22,7 @@ def queries() -> dict:
         "op8_token_files": token_files.op8_token_files,
         "op9_near_dedup": near_dedup.op9_near_dedup,
         "op10_url_rules": url_rules.op10_url_rules,
+        "op13_suffix_tree": suffix_tree.op13_suffix_tree,
         "pipeline": corpus_pipeline.run,
     }
 
