@@ -5,8 +5,8 @@ from __future__ import annotations
 import corpus_pipeline
 from duoscope.llm import oracle_sql as oracle_sql_of
 from duoscope.llm import (
-    crf_quality, decontaminate, language_id, mixing, near_dedup, order_minhash, secrets, shards,
-    suffix_tree, token_files, url_rules,
+    crf_quality, decontaminate, hard_negatives, language_id, mixing, near_dedup, order_minhash, secrets, shards,
+    source_audit, suffix_tree, token_files, url_rules,
 )
 
 
@@ -22,6 +22,8 @@ def queries() -> dict:
         "op8_token_files": token_files.op8_token_files,
         "op9_near_dedup": near_dedup.op9_near_dedup,
         "op10_url_rules": url_rules.op10_url_rules,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_source_audit": source_audit.op12_source_audit,
         "op13_suffix_tree": suffix_tree.op13_suffix_tree,
         "pipeline": corpus_pipeline.run,
     }
@@ -35,4 +37,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_shards": oracle_sql_of.SHARDS,
         "op9_near_dedup": oracle_sql_of.NEAR_DUPLICATES,
         "op10_url_rules": url_rules.OP10_SQL,
+        "op11_hard_negatives": hard_negatives.OP11_SQL,
+        "op12_source_audit": source_audit.OP12_SQL,
     }
