@@ -52,12 +52,23 @@ def _terms(block) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     return coded.dictionary, pairs // size, pairs % size, n
 
 
+def _merged(found: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
+    """Sum (group, term) counts that were made block by block, each with terms of its own."""
+    coded = pa.concat_arrays([f[0] for f in found]).dictionary_encode()
+    places = np.split(coded.indices.to_numpy(), np.cumsum([len(f[0]) for f in found])[:-1])
+    size = max(1, len(coded.dictionary))
+    keys = np.concatenate([f[1] * size + place[f[2]] for f, place in zip(found, places)])
+    keys, back = np.unique(keys, return_inverse=True)
+    n, docs = (np.bincount(back, np.concatenate([f[k] for f in found]), len(keys)).astype(np.int64) for k in (3, 4))
+    return pa.table({"group": keys // size, "term": coded.dictionary.take(pa.array(keys % size)), "n": n, "docs": docs})
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang, source = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
         width = max(1, len(source.dictionary))
         group = lang.indices.to_numpy().astype(np.int64) * width + source.indices.to_numpy()
-        long_text = None
+        found, long_text = [], None
         for b in blocks(batch.column("text"), LETTERS):
             terms, rows, at, n = _terms(b)
             if b.continued or not b.complete:
@@ -70,22 +81,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         both.column("docs").to_numpy(),
                     )
                 long_text = None if b.complete else piece
-                if not b.complete:
-                    continue
-                found = piece.set_column(3, "docs", pa.array(np.ones(piece.num_rows, np.int64)))
-            else:
-                size = max(1, len(terms))
+                if b.complete:
+                    k = piece.num_rows
+                    found.append((
+                        piece.column("term").combine_chunks(), piece.column("group").to_numpy(), np.arange(k),
+                        piece.column("n").to_numpy(), np.ones(k, np.int64),
+                    ))
+            elif len(n):
+                size = len(terms)
                 keys, back = np.unique(group[b.first + rows] * size + at, return_inverse=True)
-                found = pa.table({
-                    "group": keys // size, "term": terms.take(pa.array(keys % size)),
-                    "n": np.bincount(back, n, len(keys)).astype(np.int64), "docs": np.bincount(back, minlength=len(keys)),
-                })
-            of = found.column("group").to_numpy()
-            out = pa.table({
-                "lang": lang.dictionary.take(pa.array(of // width)), "source": source.dictionary.take(pa.array(of % width)),
-                "term": pc.cast(found.column("term"), pa.string()), "n": found.column("n"), "docs": found.column("docs"),
-            })
-            yield from out.combine_chunks().to_batches(max_chunksize=50_000)
+                found.append((terms, keys // size, keys % size, np.bincount(back, n, len(keys)), np.bincount(back, minlength=len(keys))))
+        if not found:
+            continue
+        whole = _merged(found)
+        of = whole.column("group").to_numpy()
+        out = pa.table({
+            "lang": lang.dictionary.take(pa.array(of // width)), "source": source.dictionary.take(pa.array(of % width)),
+            "term": pc.cast(whole.column("term"), pa.string()), "n": whole.column("n"), "docs": whole.column("docs"),
+        })
+        yield from out.combine_chunks().to_batches(max_chunksize=50_000)
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -229,12 +243,13 @@ def divergences(
     langs = stored(
         counted.withColumn("zero", scaled_share(F.lit(0), F.col("total"), F.col("v"))).groupBy("lang", "n", "v").agg(
             F.array_sort(F.collect_list(F.struct("source", "total", "zero"))).alias("sources")
-        ).withColumnsRenamed({"n": "lang_total"}), "audit",
+        ).withColumnsRenamed({"n": "lang_total"}).withColumn(
+            "known", F.map_from_entries(F.transform("sources", lambda s: F.struct(s["source"], s)))
+        ), "audit",
     )
-    by_source = F.map_from_entries(F.transform("sources", lambda s: F.struct(s["source"], F.struct(s["total"], s["zero"]))))
 
     def item(c: Column) -> Column:
-        known = by_source[c["source"]]
+        known = F.col("known")[c["source"]]
         return F.struct(
             c["source"].alias("source"), c["n"].alias("n"),
             scaled_share(c["n"], known["total"], F.col("v")).alias("p"), known["zero"].alias("z"),
