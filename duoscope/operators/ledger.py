@@ -12,29 +12,74 @@ from duoscope import constants as C
 CELL = ("task_id", "stage", "arm")
 
 
+def partial_state(writes: DataFrame, keys: Sequence[str] = CELL, seq: str = "seq") -> DataFrame:
+    """What has to be known of each cell's writes so far: one row per cell, in one aggregation.
+
+    ``gone`` is the last deletion, ``last`` the last other write, ``put``, ``tries`` and ``took`` the last known
+    status, retry count and duration, each with its number. All are maxima, so writes are combined before the shuffle
+    however many a cell has, and partial states of any subsets, late or repeated, add up (:func:`merged_state`).
+    """
+    s, live = F.col(seq), ~F.coalesce("deleted", F.lit(False))
+
+    def latest(value: str) -> Column:
+        return F.max(F.when(live & F.col(value).isNotNull(), F.struct(s.alias("seq"), F.col(value).alias("value"))))
+
+    return writes.groupBy(*keys).agg(
+        F.max(F.when(~live, s)).alias("gone"), F.max(F.when(live, s)).alias("last"),
+        latest("status").alias("put"), latest("retry_count").alias("tries"), latest("duration_s").alias("took"),
+    )
+
+
+def merged_state(partials: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
+    """Partial states of the same cells as one each."""
+    return partials.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("gone", "last", "put", "tries", "took")])
+
+
+def final_state(partials: DataFrame, keys: Sequence[str] = CELL, seq: str = "seq") -> DataFrame:
+    """Current cells of partial states: what lies before the last deletion is gone, and a duration from before the status."""
+    since = lambda c: F.col(f"{c}.seq") > F.coalesce("gone", F.lit(-1))
+    put = F.when(since("put"), F.col("put.seq"))
+    return partials.filter(F.col("last") > F.coalesce("gone", F.lit(-1))).select(
+        *keys, F.when(since("put"), F.col("put.value")).alias("status"), F.when(since("tries"), F.col("tries.value")).alias("retry_count"),
+        F.when(since("took") & (F.col("took.seq") >= F.coalesce(put, F.lit(-1))), F.col("took.value")).alias("duration_s"),
+        F.col("last").alias(seq),
+    )
+
+
 def current_state(writes: DataFrame, keys: Sequence[str] = CELL, seq: str = "seq") -> DataFrame:
     """Latest state per cell from appended writes.
 
     Columns: keys, ``seq`` (unique per cell), ``status`` (NULL: a write that only
     merges), ``retry_count``, ``duration_s``, ``deleted``. A write with a status replaces the cell but carries
-    the retry count; one without merges; a deletion empties the cell. Aggregates only, so a
+    the retry count; one without merges; a deletion empties the cell. One aggregation, so a
     cell with very many writes is combined before the shuffle.
     """
-    s = F.col(seq)
-    bounds = writes.groupBy(*keys).agg(
-        F.max(F.when(F.col("deleted"), s)).alias("_gone"),
-        F.max(F.when(F.col("status").isNotNull() & ~F.col("deleted"), s)).alias("_set"),
-    )
-    since = s > F.coalesce("_gone", F.lit(-1))
-    replaced = s >= F.coalesce("_set", F.lit(-1))
-    live = writes.join(bounds, list(keys)).filter(~F.col("deleted") & since)
+    return final_state(partial_state(writes, keys, seq), keys, seq)
 
-    def latest(value: str, when: Column | None = None) -> Column:
-        known = F.col(value).isNotNull() if when is None else F.col(value).isNotNull() & when
-        return F.max(F.when(known, F.struct(s.alias("s"), F.col(value).alias("v"))))["v"].alias(value)
 
-    return live.groupBy(*keys).agg(
-        latest("status"), latest("retry_count"), latest("duration_s", replaced), F.max(s).alias(seq),
+def reset_writes(state: DataFrame, selection: DataFrame, seq: str = "seq") -> DataFrame:
+    """Deletions for the cells of a selection: ``task_id, stage, arm``, where a null matches every task, stage or arm.
+
+    ``state`` are the current cells; the deletions are numbered after them. Only cells there are can be reset.
+    """
+    exact = [c for c in CELL]
+    cells = state.select(*CELL, seq)
+    found = None
+    # One equi join per combination of named columns, of which there are eight.
+    for mask in range(1 << len(exact)):
+        named = [c for i, c in enumerate(exact) if mask >> i & 1]
+        wanted = selection
+        for c in exact:
+            wanted = wanted.filter(F.col(c).isNotNull() if c in named else F.col(c).isNull())
+        wanted = wanted.select(*[F.col(c).alias(f"_{c}") for c in named], F.lit(True).alias("_all")).distinct()
+        same = F.lit(True)
+        for c in named:
+            same = same & (F.col(c) == F.col(f"_{c}"))
+        part = cells.join(wanted, same, "left_semi") if named else cells.filter(F.lit(not wanted.isEmpty()))
+        found = part if found is None else found.union(part)
+    return found.distinct().select(
+        *CELL, (F.col(seq) + 1).alias(seq), F.lit(None).cast("string").alias("status"), F.lit(None).cast("int").alias("retry_count"),
+        F.lit(None).cast("double").alias("duration_s"), F.lit(True).alias("deleted"),
     )
 
 
@@ -105,14 +150,18 @@ def slowest(cells: DataFrame, stage: str = "run") -> DataFrame:
     )
 
 
-def task_pivot(cells: DataFrame, stages: Sequence[str], value: str = "class") -> DataFrame:
-    """One row per task with a column per stage; with arms, the worst class of both."""
-    rank = {"done": 0, "partial": 1, "pending": 2, "failed": 3}
-    code = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])[F.col(value)]
-    names = F.array(*[F.lit(k) for k in rank])
-    return cells.groupBy("task_id").agg(
-        *[F.get(names, F.max(F.when(F.col("stage") == s, code))).alias(s) for s in stages]
-    )
+def task_pivot(cells: DataFrame, stages: Sequence[str], arms: Sequence[str], armed: Sequence[str] = C.ARM_STAGES) -> DataFrame:
+    """One row per task: class and duration per stage, and per arm where the stage has arms; one aggregation.
+
+    Columns are ``<stage>[_<arm>]`` and ``<stage>[_<arm>]_s`` (seconds; null where unknown).
+    """
+    out = []
+    for stage in stages:
+        for arm in arms if stage in armed else [None]:
+            mine = (F.col("stage") == stage) & (F.col("arm") == arm if arm else F.col("arm").isNull())
+            name = f"{stage}_{arm}" if arm else stage
+            out += [F.max(F.when(mine, F.col("class"))).alias(name), F.max(F.when(mine, F.col("duration_s"))).alias(f"{name}_s")]
+    return cells.groupBy("task_id").agg(*out)
 
 
 def delivery_progress(cells: DataFrame) -> DataFrame:
@@ -155,6 +204,26 @@ def stage_health(counts: DataFrame) -> DataFrame:
     return counts.select("stage", "arm", status.alias("health"), "n_done", "n_total")
 
 
+def task_health(cells: DataFrame, stuck_after: int = C.STUCK_RETRIES) -> DataFrame:
+    """Health per task: critical with cells that failed for good, degraded with failed, stuck or unfinished ones, else healthy."""
+    status = F.col("status")
+    counts = cells.groupBy("task_id").agg(
+        F.count_if(status == "permanently_failed").alias("n_permanently_failed"),
+        *[F.count_if(F.col("class") == c).alias(f"n_{c}") for c in ("failed", "partial", "pending", "done")],
+        F.count_if(status.isin("failed", "partial") & (F.col("retry_count") >= stuck_after)).alias("n_stuck"), F.count(F.lit(1)).alias("n_total"),
+    )
+    health = F.when(F.col("n_permanently_failed") > 0, "critical").when(F.col("n_done") < F.col("n_total"), "degraded").otherwise("healthy")
+    return counts.withColumn("health", health)
+
+
+def overall_health(cells: DataFrame, issues: DataFrame) -> DataFrame:
+    """One row: critical when any cell failed for good, degraded when there are issue rows, else healthy; with the counts."""
+    failed = cells.agg(F.count_if(F.col("status") == "permanently_failed").alias("n_permanently_failed"), F.count_distinct("task_id").alias("n_tasks"))
+    found = issues.agg(F.count(F.lit(1)).alias("n_issues"))
+    health = F.when(F.col("n_permanently_failed") > 0, "critical").when(F.col("n_issues") > 0, "degraded").otherwise("healthy")
+    return failed.join(F.broadcast(found)).withColumn("health", health)  # one row each
+
+
 def run_status(turns: DataFrame, expected: str = "expected_turns") -> DataFrame:
     """Status of a run from its turns: ``task_id, arm, exit_code, duration_s, session_id`` and the expected number.
 

@@ -63,17 +63,15 @@ def pair_criteria(criteria: DataFrame, key: str = "task_id", arms: Arms = ARMS)
     """Both arms' score and description hash per (task, criterion name), for tasks with both arms.
 
     A name that an arm uses twice counts with its last row. This is a full outer
-    join on (task, name) done as one hash aggregation: position and score are
-    packed into one number, and of descriptions only 64-bit hashes travel.
+    join on (task, name) done as one aggregation; of descriptions only 64-bit hashes travel.
     """
-    # pos * 16 + score + 8 keeps the score of the last position.
-    packed = F.col("pos").cast("bigint") * 16 + F.coalesce(F.col("score"), F.lit(-8)) + 8
+    placed = F.struct("pos", "score")
 
     def side(arm: str, prefix: str) -> list[Column]:
         mine = F.col("arm") == arm
         return [
             F.bool_or(mine).alias(f"in_{prefix}"),
-            F.max(F.when(mine, packed)).alias(f"_{prefix}"),
+            F.max(F.when(mine, placed)).alias(f"_{prefix}"),
             F.max_by(F.when(mine, F.xxhash64("description")), F.when(mine, F.col("pos"))).alias(f"{prefix}_description"),
         ]
 
@@ -81,8 +79,7 @@ def pair_criteria(criteria: DataFrame, key: str = "task_id", arms: Arms = ARMS)
     armed = criteria.groupBy(key).agg(F.count_distinct("arm").alias("_arms")).filter("_arms > 1").select(key)
 
     def score(prefix: str) -> Column:
-        s = F.pmod(F.col(f"_{prefix}"), F.lit(16)) - 8
-        return F.when(s > -8, s).cast("int").alias(f"{prefix}_score")
+        return F.col(f"_{prefix}.score").cast("int").alias(f"{prefix}_score")
 
     return named.join(armed, key, "left_semi").select(
         key, "name", "in_baseline", "in_candidate", score("baseline"), score("candidate"),

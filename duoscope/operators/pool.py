@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from duoscope.functions.checks import safe_url
 from duoscope.operators.ordered import row_numbers, running_sum
 
 
@@ -79,6 +80,30 @@ def pool_status(assigned: DataFrame, used: DataFrame) -> DataFrame:
     )
 
 
+def person_status(assigned: DataFrame, used: DataFrame) -> DataFrame:
+    """Per person and key: entries, distinct used projects, entries left."""
+    marked = assigned.join(used.withColumn("is_used", F.lit(True)), "repo", "left")
+    per = marked.groupBy("person", "key").agg(
+        F.count(F.lit(1)).alias("total"), F.count_distinct(F.when(F.col("is_used"), F.col("repo"))).alias("used"),
+    )
+    return per.withColumn("remaining", F.col("total") - F.col("used"))
+
+
+def people_below_target(assigned: DataFrame, targets: DataFrame, people: DataFrame) -> DataFrame:
+    """Per key with a target the people who have fewer projects: ``key, target, n_people``.
+
+    ``targets`` has ``key, target``, ``people`` has ``person``, both without repeats. People at the target are counted and taken from all,
+    so nobody's absence needs a row.
+    """
+    have = assigned.groupBy("key", "person").agg(F.count(F.lit(1)).alias("n"))
+    enough = have.join(targets, "key").join(people, "person", "left_semi").filter("n >= target").groupBy("key").agg(F.count(F.lit(1)).alias("enough"))
+    total = people.agg(F.count(F.lit(1)).alias("people"))
+    below = targets.join(enough, "key", "left").join(F.broadcast(total)).select(  # one row
+        "key", "target", (F.col("people") - F.coalesce("enough", F.lit(0))).alias("n_people")
+    )
+    return below.filter("n_people > 0 AND target > 0")
+
+
 def shortfall(need: DataFrame, pool: DataFrame, key: str = "key") -> DataFrame:
     """Keys that have fewer projects than needed."""
     found = pool.groupBy(key).agg(F.count(F.lit(1)).alias("found"))
@@ -133,9 +158,23 @@ def match_ideas(ideas: DataFrame, slots: DataFrame, batch: str = "batch", kind:
     return matched.union(rest)
 
 
-def eligible(candidates: DataFrame, excluded: DataFrame, stars: tuple[int, int], key: str = "repo") -> DataFrame:
-    """Candidates with stars in range (both ends) that are not excluded."""
-    return candidates.filter(F.col("stars").between(*stars)).join(excluded.select(key), key, "left_anti")
+def eligible(
+    candidates: DataFrame, excluded: DataFrame, stars: tuple[int, int], key: str = "repo", largest: int | None = None
+) -> DataFrame:
+    """Candidates with stars in range (both ends) that are not excluded.
+
+    Where the columns are there, forks and archived projects, those larger than ``largest`` (column ``size``) and those whose ``clone_url`` is not
+    safe are left out as well; a null fork or archived mark counts as no.
+    """
+    good = F.col("stars").between(*stars)
+    for mark in ("fork", "archived"):
+        if mark in candidates.columns:
+            good = good & ~F.coalesce(F.col(mark), F.lit(False))
+    if largest is not None and "size" in candidates.columns:
+        good = good & (F.coalesce("size", F.lit(0)) <= largest)
+    if "clone_url" in candidates.columns:
+        good = good & safe_url(F.col("clone_url"))
+    return candidates.filter(good).join(excluded.select(key), key, "left_anti")
 
 
 def weighted_sample(rows: DataFrame, key: str, weight: str, k: int, seed: int) -> DataFrame:
@@ -144,6 +183,29 @@ def weighted_sample(rows: DataFrame, key: str, weight: str, k: int, seed: int) -
     return rows.filter(F.col(weight) > 0).withColumn("draw", draw).orderBy("draw", key).limit(k)
 
 
+def stratified_sample(
+    rows: DataFrame, strata: Sequence[str], key: str, weight: str, k: int, seed: int, wanted: Column | None = None, excluded: DataFrame | None = None,
+) -> DataFrame:
+    """``k`` rows of each stratum drawn without replacement with chances by weight; all of a stratum that has fewer.
+
+    ``wanted`` is a filter, ``excluded`` rows by ``key`` that take no part. Every row gets an exponential draw fixed by key and seed; the smallest of a
+    stratum win. Each task keeps its own ``k`` best of a stratum, so neither a stratum nor the table is sorted as a whole.
+    """
+    own = rows if wanted is None else rows.filter(wanted)
+    if excluded is not None:
+        own = own.join(excluded.select(key), key, "left_anti")
+    draw = -F.ln(uniform(F.col(key), seed)) / F.col(weight)
+    order = W.partitionBy(*strata).orderBy("draw", key)
+    drawn = own.filter(F.col(weight) > 0).withColumn("draw", draw).withColumn("rank", F.row_number().over(order))
+    return drawn.filter(F.col("rank") <= k)
+
+
+def slot_batches(slots: DataFrame, k: int, n: int, seed: int, strata: Sequence[str] = ("domain",), **options) -> DataFrame:
+    """``k`` slots drawn per stratum, each expanded to ``n`` slots of different task types: ``seed, k, slot, task_type``."""
+    drawn = stratified_sample(slots, strata, "slot", "weight", k, seed, **options)
+    return expand_slots(drawn.select("slot", "task_type", "domain", "language"), slots, n)
+
+
 def next_id(sources: Sequence[DataFrame], prefix: str = "CT-") -> DataFrame:
     """One row: the id after the largest number in use, four digits at least."""
     out = sources[0].select("id")

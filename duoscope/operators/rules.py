@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duoscope.functions import names
+from duoscope.settings import ARMS, Arms
+
 #: Largest difference between a published and a computed pass rate.
 TOLERANCE = 1e-4
 #: Reasons for which a task counts as failed, not just partial.
@@ -68,6 +71,56 @@ def group_stats(records: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
+def arm_stats(records: DataFrame, fields: Sequence[str], arms: Arms = ARMS, digits: int = 6) -> DataFrame:
+    """Six statistics of both arms' pass rates by each field for itself, in one aggregation over grouping sets.
+
+    ``n_tasks`` counts all tasks of a group, ``<arm>_count`` those with a pass rate; the deviation of one value is 0, the statistics of
+    none are null. Pass rates have four decimals, so the exact median keeps at most 10 001 values per group.
+    """
+    stats = []
+    for arm in ("baseline", "candidate"):
+        v = F.round(f"{arm}_passrate", 4)
+        deviation = F.when(F.count(v) > 1, F.stddev_samp(v)).when(F.count(v) == 1, 0.0)
+        stats += [
+            F.min(v).alias(f"{arm}_min"), F.max(v).alias(f"{arm}_max"), F.round(F.avg(v), digits).alias(f"{arm}_mean"),
+            F.round(F.median(v), digits).alias(f"{arm}_median"), F.round(deviation, digits).alias(f"{arm}_std"), F.count(v).alias(f"{arm}_count"),
+        ]
+    grouped = records.groupingSets([[F.col(f)] for f in fields], *fields).agg(
+        F.count(F.lit(1)).alias("n_tasks"), *[F.grouping(f).alias(f"_{f}") for f in fields], *stats
+    )
+    name = value = None
+    for f in fields:
+        mine = F.col(f"_{f}") == 0
+        name = F.when(mine, f) if name is None else name.when(mine, f)
+        value = F.when(mine, F.col(f).cast("string")) if value is None else value.when(mine, F.col(f).cast("string"))
+    own = [f"{arm}_{s}" for arm in ("baseline", "candidate") for s in ("min", "max", "mean", "median", "std", "count")]
+    return grouped.select(name.alias("field"), F.coalesce(value, F.lit("")).alias("value"), "n_tasks", *own)
+
+
+def reconcile_arms(facts: DataFrame, published: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row ``task_id, arm, rule`` per thing that a published row says otherwise than the delivery.
+
+    ``facts`` has ``task_id`` (the public id), ``arm, session_file, session_id, passrate`` of what was delivered; ``published`` the same keys
+    and ``trajectory, session_id, score_path, passrate`` as published texts. A published path may be the delivered file or
+    its regular name, if any; the score path its regular or its older name.
+    """
+    p = published.select("task_id", "arm", *[F.col(c).alias(f"_{c}") for c in ("trajectory", "session_id", "score_path", "passrate")], F.lit(True).alias("_there"))
+    joined = facts.join(p, ["task_id", "arm"], "left")
+    said = lambda c: F.coalesce(F.col(f"_{c}"), F.lit(""))
+    task, arm = F.col("task_id"), F.col("arm")
+    number = F.expr("try_cast(_passrate AS double)")
+    rules = {
+        "not_published": F.col("_there").isNull(),
+        "session_path_differs": F.col("_there") & (said("trajectory") != "") & (said("trajectory") != F.coalesce("session_file", F.lit(""))) & (said("trajectory") != names.session_path(task, arm)),
+        "session_differs": F.col("_there") & (said("session_id") != F.coalesce("session_id", F.lit(""))),
+        "score_path_differs": F.col("_there") & (said("score_path") != names.score_path(task, arm)) & (said("score_path") != names.legacy_score_path(task, arm)),
+        "passrate_unreadable": F.col("_there") & (said("passrate") != "") & number.isNull() & F.col("passrate").isNotNull(),
+        "passrate_differs": F.col("_there") & (F.abs(number - F.round("passrate", 4)) > tolerance),
+    }
+    found = F.array_compact(F.array(*[F.when(c, n) for n, c in rules.items()]))
+    return joined.select("task_id", "arm", F.explode(found).alias("rule"))
+
+
 def batch_summary(records: DataFrame) -> DataFrame:
     """One row: tasks, passed tasks and the range of both arms' pass rates."""
     stats = [
@@ -82,11 +135,11 @@ def batch_summary(records: DataFrame) -> DataFrame:
 def finalize(records: DataFrame, reasons: DataFrame, key: str = "task_id") -> DataFrame:
     """Add ``status``: failed by a rubric's reason, partial without both pass rates inside the limits, else done.
 
-    ``reasons`` has ``baseline_reason`` and ``candidate_reason``.
+    ``reasons`` has ``baseline_reason`` and ``candidate_reason``; records without a row there have none.
     """
     bad = F.coalesce(F.col("baseline_reason").isin(*FAILING), F.lit(False)) | F.coalesce(F.col("candidate_reason").isin(*FAILING), F.lit(False))
     status = F.when(bad, "failed").when(~F.col("threshold_ok"), "partial").otherwise("done")
-    return records.join(reasons, key).withColumn("status", status)
+    return records.join(reasons, key, "left").withColumn("status", status)
 
 
 def with_context(tasks: DataFrame, sources: Sequence[DataFrame], fields: Sequence[str], default: str = "unknown", key: str = "task_id") -> DataFrame:

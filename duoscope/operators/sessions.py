@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duoscope import constants as C
-from duoscope.functions.text import head_tail
+from duoscope.functions.checks import safe_path_component
+from duoscope.functions.text import head_tail, user_text
 from duoscope.operators.ordered import first_per_key, last_seen, running_sum
 from duoscope.settings import LIMITS, Limits
 
@@ -26,10 +27,14 @@ def read_sessions(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
         ).alias("line_key"),
         F.trim(F.make_valid_utf8(F.col("value"))).alias("raw"),
-    ).filter("raw <> ''")
-    parsed = F.try_parse_json("raw")
-    is_object = F.startswith(F.col("raw"), F.lit("{"))
-    return lines.withColumn("event", F.when(is_object, parsed))
+    )
+    return parsed_lines(lines)
+
+
+def parsed_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
+    """Add ``event``, the VARIANT of a line, NULL for what is no JSON object; blank lines go."""
+    is_object = F.startswith(F.col(raw), F.lit("{"))
+    return lines.filter(F.col(raw) != "").withColumn("event", F.when(is_object, F.try_parse_json(raw)))
 
 
 def session_rows(lines: DataFrame) -> DataFrame:
@@ -40,14 +45,15 @@ def session_rows(lines: DataFrame) -> DataFrame:
     return lines.select(
         F.col("file_path").alias("session_id_key"), "line_key", text("$.type").alias("type"),
         text("$.sessionId").alias("session_id"), text("$.message.model").alias("model"), text("$.cwd").alias("cwd"),
-        text("$.timestamp").alias("timestamp"), text("$.message.content").alias("text"),
+        text("$.timestamp").alias("timestamp"), user_text(F.try_variant_get("event", "$.message.content", "variant")).alias("text"),
     )
 
 
 def session_facts(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """One row per session: lines, user turns, first session id, models, first and last time, first user text.
 
-    ``rows`` has the keys, ``order`` (unique in a session), ``type``, ``session_id``, ``model``, ``timestamp``, ``text``.
+    ``rows`` has the keys, ``order`` (unique in a session), ``type``, ``session_id``, ``model``, ``timestamp``, ``text`` and perhaps
+    ``cwd``, whose distinct values then come as ``cwds``.
     One aggregation; nothing is sorted and a long session is combined before the shuffle.
     """
     def first(value: str, when: Column) -> Column:
@@ -62,6 +68,7 @@ def session_facts(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame
         first("timestamp", user & F.col("timestamp").isNotNull()).alias("first_user_at"),
         F.max(F.when(F.col("timestamp").isNotNull(), F.struct(order, "timestamp")))["timestamp"].alias("last_at"),
         first("text", user & (F.col("text") != "")).alias("first_user_query"),
+        *([F.array_sort(F.collect_set(F.when(F.col("cwd") != "", F.col("cwd")))).alias("cwds")] if "cwd" in rows.columns else []),
     )
 
 
@@ -78,6 +85,37 @@ def session_issues(facts: DataFrame, key: str, limits: Limits = LIMITS) -> DataF
     return facts.select(key, F.inline(found))
 
 
+def collect_result(runs: DataFrame, facts: DataFrame, key: str, limits: Limits = LIMITS) -> DataFrame:
+    """Result of collecting each run: ``key, status, error, recovery``.
+
+    ``runs`` has the key, ``action`` (see :func:`collect_action`), ``provider`` (the expected one) and ``session`` (expected id,
+    perhaps empty); ``facts`` those of the file that was found, ``provider`` included, or no row. In order: a session id that no file name could hold fails;
+    no file fails, or is skipped in a salvage; another provider fails; too few lines or no model fail, where a salvage asks for fewer lines
+    and no model, and keeps any line as partial; another session fails except in a salvage. A forced collection expects no session. What is kept is done, or
+    partial from a salvage. Runs that are not collected have no row.
+    """
+    found = facts.select(
+        F.col(key).alias("_key"), "line_count", F.col("session_id").alias("_session"), F.col("provider").alias("_provider"), F.size("models").alias("_models")
+    )
+    rows = runs.filter(~F.col("action").isin("already_done", "skip")).join(found, F.col(key) == F.col("_key"), "left")
+    salvage, forced = F.col("action") == "salvage", F.col("action") == "force_collect"
+    wanted = F.when(forced, "").otherwise(F.coalesce("session", F.lit("")))
+    lines = F.col("line_count")
+    least = F.when(salvage, limits.min_salvage_lines).otherwise(limits.min_lines)
+    incomplete = (lines < least) | (~salvage & (F.col("_models") <= 0))
+    error = (
+        F.when(~safe_path_component(wanted), "bad_session_format")
+        .when(lines.isNull(), "no_file").when(~F.col("_provider").isin("unknown") & (F.col("_provider") != F.col("provider")), "provider_mismatch")
+        .when(incomplete & ~(salvage & (lines > 0)), "incomplete")
+        .when((wanted != "") & (F.coalesce("_session", F.lit("")) != wanted) & ~salvage, "session_mismatch")
+    )
+    status = (
+        F.when(F.col("error").isNull(), F.when(salvage, "partial").otherwise("done"))
+        .when((F.col("error") == "no_file") & salvage, "skipped").otherwise("failed")
+    )
+    return rows.withColumn("error", error).select(key, status.alias("status"), "error", (salvage | forced).alias("recovery"))
+
+
 def acceptance(facts: DataFrame, expected_provider: Column, provider: Column, expected_session: Column, limits: Limits = LIMITS) -> DataFrame:
     """Add ``status`` and ``error``: the first acceptance rule that a collected session breaks."""
     checks = [

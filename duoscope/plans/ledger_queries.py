@@ -42,12 +42,6 @@ def retry_writes(spark, d):
 
 
 def retry_outcomes(spark, d):
-    early = X.ledger_writes(spark, d).withColumn("arm", F.coalesce("arm", F.lit(""))).filter("seq % 2 = 0")
-    before = L.retryable(L.current_state(early).withColumn("arm", F.nullif("arm", F.lit(""))))
-    return L.retry_outcomes(before, state(spark, d))
-
-
-def retry_outcomes_all(spark, d):
     """The earlier ledger is all writes up to the middle one."""
     writes = X.ledger_writes(spark, d).withColumn("arm", F.coalesce("arm", F.lit("")))
     middle = writes.agg(F.expr("max(seq) div 2").alias("middle"))
@@ -85,8 +79,9 @@ QUERIES = {
     "timing_stats": (timing_stats, f"""WITH {X.CELLS} SELECT stage, arm, round(min(duration_s), 4) AS min_s, round(max(duration_s), 4) AS max_s, round(avg(duration_s), 4) AS mean_s,
         round(sum(duration_s), 4) AS total_s, count(*) AS n_runs FROM cells WHERE stage IN ('run', 'score') AND duration_s > 0 GROUP BY 1, 2"""),
     "slowest_run": (lambda s, d: L.slowest(cells(s, d)), f"WITH {X.CELLS} SELECT task_id, arm, duration_s FROM cells WHERE stage = 'run' AND duration_s > 0 ORDER BY duration_s DESC, task_id, arm DESC LIMIT 1"),
-    "task_pivot": (lambda s, d: L.task_pivot(cells(s, d), C.RETRY_STAGES), "WITH " + X.CELLS + ", ranked AS (SELECT *, list_position(['done', 'partial', 'pending', 'failed'], class) AS code FROM cells) SELECT task_id, " + ", ".join(
-        f"['done', 'partial', 'pending', 'failed'][max(code) FILTER (stage = '{s}')] AS {s}" for s in C.RETRY_STAGES) + " FROM ranked GROUP BY 1"),
+    "task_pivot": (lambda s, d: L.task_pivot(cells(s, d), C.RETRY_STAGES, ARMS.names), f"WITH {X.CELLS} SELECT task_id, " + ", ".join(
+        f"max({v}) FILTER (stage = '{s}' AND {f"arm = '{a}'" if a else 'arm IS NULL'}) AS {s}{'_' + a if a else ''}{e}"
+        for s in C.RETRY_STAGES for a in (ARMS.names if s in C.ARM_STAGES else [""]) for v, e in (("class", ""), ("duration_s", "_s"))) + " FROM cells GROUP BY 1"),
     "delivery_progress": (lambda s, d: L.delivery_progress(cells(s, d)), f"""WITH {X.CELLS}, t AS (SELECT task_id, bool_and(class = 'done') AS done FROM cells GROUP BY 1)
         SELECT count(*) FILTER (done) AS n_done, count(*) AS n_tasks, round(count(*) FILTER (done) * 100.0 / greatest(count(*), 1), 1)::DOUBLE AS pct FROM t"""),
     "blockers": (lambda s, d: L.blockers(cells(s, d)), f"""WITH {X.CELLS} SELECT task_id, stage, arm, CASE WHEN status = 'permanently_failed' THEN status ELSE 'stuck' END AS kind, retry_count
@@ -104,11 +99,7 @@ QUERIES = {
     "retry_plan": (retry_plan, f"WITH {X.CELLS}{_CASCADE} SELECT * FROM plan"),
     "retry_writes": (retry_writes, f"""WITH {X.CELLS}{_CASCADE} SELECT p.task_id, p.stage, p.arm, 'pending' AS status, (coalesce(s.retry_count, 0) + 1)::INT AS retry_count, coalesce(s.seq, -1) + 1 AS seq
         FROM plan p LEFT JOIN state s ON s.task_id = p.task_id AND s.stage = p.stage AND s.arm IS NOT DISTINCT FROM p.arm"""),
-    "retry_outcomes": (retry_outcomes, f"""WITH {X.STATE}, early AS (SELECT *, coalesce(max(seq) FILTER (deleted) OVER (PARTITION BY task_id, stage, arm), -1) AS gone FROM coded WHERE seq % 2 = 0),
-        before AS (SELECT task_id, stage, arm, arg_max(status, seq) FILTER (status IS NOT NULL) AS status FROM early WHERE NOT deleted AND seq > gone GROUP BY 1, 2, 3)
-        SELECT CASE WHEN s.status = 'done' THEN 'succeeded' WHEN s.status = 'permanently_failed' THEN 'permanently_failed' WHEN s.status IN ('failed', 'partial', 'draft') THEN 'still_failed' ELSE 'remaining' END AS outcome, count(*) AS n
-        FROM before b LEFT JOIN state s ON s.task_id = b.task_id AND s.stage = b.stage AND s.arm IS NOT DISTINCT FROM b.arm WHERE b.status IN ('failed', 'partial', 'draft') GROUP BY 1"""),
-    "retry_outcomes_all": (retry_outcomes_all, f"""WITH {X.STATE}, early AS (SELECT *, coalesce(max(seq) FILTER (deleted) OVER (PARTITION BY task_id, stage, arm), -1) AS gone FROM coded WHERE seq <= (SELECT max(seq) // 2 FROM coded)),
+    "retry_outcomes": (retry_outcomes, f"""WITH {X.STATE}, early AS (SELECT *, coalesce(max(seq) FILTER (deleted) OVER (PARTITION BY task_id, stage, arm), -1) AS gone FROM coded WHERE seq <= (SELECT max(seq) // 2 FROM coded)),
         before AS (SELECT task_id, stage, arm, arg_max(status, seq) FILTER (status IS NOT NULL) AS status FROM early WHERE NOT deleted AND seq > gone GROUP BY 1, 2, 3)
         SELECT CASE WHEN s.status = 'done' THEN 'succeeded' WHEN s.status = 'permanently_failed' THEN 'permanently_failed' WHEN s.status IN ('failed', 'partial', 'draft') THEN 'still_failed' ELSE 'remaining' END AS outcome, count(*) AS n
         FROM before b LEFT JOIN state s ON s.task_id = b.task_id AND s.stage = b.stage AND s.arm IS NOT DISTINCT FROM b.arm WHERE b.status IN ('failed', 'partial', 'draft') GROUP BY 1"""),

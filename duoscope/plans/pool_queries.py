@@ -19,12 +19,6 @@ def available(spark, d):
 
 
 def merged_pool(spark, d):
-    old = X.pool(spark, d).filter("repo % 5 = 0")
-    new = X.pool(spark, d).filter("repo % 3 = 0").withColumn("pos", -F.col("pos"))
-    return P.merge_pool(old, new)
-
-
-def merged_pool_all(spark, d):
     """Every part ever ordered as the old pool, all parts as the new one."""
     pool = X.pool(spark, d)
     ordered = X.table(spark, d, "lineitem").select(F.col("l_partkey").alias("repo")).distinct()
@@ -77,11 +71,6 @@ def slots(spark, d) -> DataFrame:
 
 
 def slot_expansion(spark, d):
-    rows = slots(spark, d)
-    return P.expand_slots(rows.filter("slot % 17 = 0"), rows, 4)
-
-
-def slot_expansion_all(spark, d):
     rows = slots(spark, d)
     return P.expand_slots(rows, rows, 4)
 
@@ -117,9 +106,6 @@ QUERIES = {
     "pool_needs": (needs, "SELECT p_brand AS key, ceil(ceil(sum(l_quantity) / 3) * 1.2)::BIGINT AS needed FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1"),
     "used_projects": (X.used, f"WITH {X.POOL} SELECT repo FROM used"),
     "available_projects": (available, f"WITH {X.POOL} SELECT key, repo FROM pool WHERE repo NOT IN (SELECT repo FROM used)"),
-    "merged_pool": (merged_pool, f"""WITH {X.POOL}, b AS (SELECT key, repo, pos, 0 AS src FROM pool WHERE repo % 5 = 0 UNION ALL SELECT key, repo, -pos, 1 FROM pool WHERE repo % 3 = 0),
-        f AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY key, repo ORDER BY src, pos) = 1)
-        SELECT key, repo, src, row_number() OVER (PARTITION BY key ORDER BY src, pos, repo) AS pos FROM f"""),
     "round_robin": (round_robin, f"WITH {X.POOL}, r AS (SELECT key, repo, row_number() OVER (PARTITION BY key ORDER BY pos, repo) AS rank FROM pool) SELECT key, repo, rank, (rank - 1) % {X.PEOPLE} + 1 AS person FROM r"),
     "allocation": (allocation, f"""WITH {X.POOL}, r AS (SELECT key, repo, row_number() OVER (PARTITION BY key ORDER BY pos, repo) AS rank, count(*) OVER (PARTITION BY key) AS n FROM pool),
         w AS (SELECT DISTINCT key, p::INT AS person, n // {X.PEOPLE} + p % 3 AS need FROM r, range(1, {X.PEOPLE + 1}) t(p)),
@@ -133,15 +119,10 @@ QUERIES = {
         SELECT key, needed, found, needed - found AS missing FROM n WHERE found < needed"""),
     "first_available": (first_available, f"WITH {X.POOL} SELECT key, arg_min(repo, pos) AS repo FROM pool WHERE repo NOT IN (SELECT repo FROM used) GROUP BY 1"),
     "top_candidates": (top_candidates, f"WITH {X.POOL} SELECT key, repo, row_number() OVER (PARTITION BY key ORDER BY stars DESC, pos, repo) AS rank, stars FROM pool QUALIFY rank <= 5"),
-    "slot_expansion": (slot_expansion, """WITH slots AS (SELECT p_partkey AS slot, p_type AS task_type, p_brand AS domain, p_size % 3 AS language FROM part),
-        firsts AS (SELECT domain, language, task_type, min(slot) AS slot FROM slots GROUP BY 1, 2, 3), seeds AS (SELECT * FROM slots WHERE slot % 17 = 0),
-        o AS (SELECT s.slot AS seed, row_number() OVER (PARTITION BY s.slot ORDER BY f.slot) AS k, f.slot, f.task_type FROM seeds s JOIN firsts f ON s.domain = f.domain AND s.language = f.language AND s.task_type <> f.task_type)
-        SELECT s.slot AS seed, t.k::INT AS k, CASE WHEN o.slot IS NULL THEN s.slot ELSE o.slot END AS slot, coalesce(o.task_type, s.task_type) AS task_type
-        FROM seeds s CROSS JOIN range(0, 4) t(k) LEFT JOIN o ON o.seed = s.slot AND o.k = t.k"""),
-    "merged_pool_all": (merged_pool_all, f"""WITH {X.POOL}, b AS (SELECT key, repo, pos, 0 AS src FROM pool WHERE repo IN (SELECT l_partkey FROM lineitem) UNION ALL SELECT key, repo, -pos, 1 FROM pool),
+    "merged_pool": (merged_pool, f"""WITH {X.POOL}, b AS (SELECT key, repo, pos, 0 AS src FROM pool WHERE repo IN (SELECT l_partkey FROM lineitem) UNION ALL SELECT key, repo, -pos, 1 FROM pool),
         f AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY key, repo ORDER BY src, pos) = 1)
         SELECT key, repo, src, row_number() OVER (PARTITION BY key ORDER BY src, pos, repo) AS pos FROM f"""),
-    "slot_expansion_all": (slot_expansion_all, """WITH slots AS (SELECT p_partkey AS slot, p_type AS task_type, p_brand AS domain, p_size % 3 AS language FROM part),
+    "slot_expansion": (slot_expansion, """WITH slots AS (SELECT p_partkey AS slot, p_type AS task_type, p_brand AS domain, p_size % 3 AS language FROM part),
         firsts AS (SELECT domain, language, task_type, min(slot) AS slot FROM slots GROUP BY 1, 2, 3),
         o AS (SELECT s.slot AS seed, row_number() OVER (PARTITION BY s.slot ORDER BY f.slot) AS k, f.slot, f.task_type FROM slots s JOIN firsts f ON s.domain = f.domain AND s.language = f.language AND s.task_type <> f.task_type)
         SELECT s.slot AS seed, t.k::INT AS k, CASE WHEN o.slot IS NULL THEN s.slot ELSE o.slot END AS slot, coalesce(o.task_type, s.task_type) AS task_type
