@@ -24,16 +24,6 @@ def legacy_score_path(task_id: Column, arm: Column) -> Column:
     return F.concat(F.lit("scores/"), arm, F.lit("/"), task_id, F.lit(".quality.toml"))
 
 
-def path_stem(path: Column) -> Column:
-    """File name without folders and without its last extension."""
-    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*\z", "")
-
-
-def path_parent(path: Column) -> Column:
-    """Name of the folder that holds the file."""
-    return F.regexp_extract(path, r"([^/]*)/[^/]*\z", 1)
-
-
 def date_part(date: Column) -> Column:
     """``20260607`` gives ``607``; other lengths are returned unchanged."""
     month = F.substring(date, 5, 2).cast("int").cast("string")

@@ -52,11 +52,6 @@ def rubric_facts(criteria: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
-def is_complete(limits: Limits = LIMITS) -> Column:
-    """Complete rubric: right number of rows and every row fully scored."""
-    return F.col("n_criteria").between(limits.min_criteria, limits.max_criteria) & F.col("rows_complete")
-
-
 def rubric_verdict(facts: DataFrame, limits: Limits = LIMITS, check_names: bool = False) -> DataFrame:
     """Add ``reason`` (first failing check or NULL), the position it points at, and ``passrate``."""
     n = F.col("n_criteria")
@@ -82,6 +77,26 @@ def rubric_verdict(facts: DataFrame, limits: Limits = LIMITS, check_names: bool
     )
 
 
+def _escaped(text: Column) -> Column:
+    """Text as it stands between the quotes of the rubric format."""
+    for plain, mark in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(plain), F.lit(mark))
+    return text
+
+
+def rubric_texts(criteria: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Every rubric in the text format that people edit: ``keys, rubric``; rows in order of ``pos``, absent fields filled."""
+    row = with_defaults(criteria)
+    quoted = lambda c: F.concat(F.lit(f'{c} = "'), _escaped(F.coalesce(F.col(c), F.lit(""))), F.lit('"\n'))
+    plain = lambda c: F.concat(F.lit(f"{c} = "), F.col(c).cast("string"), F.lit("\n"))
+    block = F.concat(
+        F.lit("[[criterion]]\n"), quoted("name"), quoted("description"), quoted("type"), plain("points"), plain("weight"), plain("score"), quoted("rationale"),
+    )
+    # A rubric is a few rows.
+    listed = row.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("pos").alias("p"), block.alias("b")))).alias("l"))
+    return listed.select(*keys, F.array_join(F.transform("l", lambda x: x["b"]), "\n").alias("rubric"))
+
+
 def any_issue(verdicts: DataFrame) -> DataFrame:
     """One row: True when any rubric has no pass rate (the strict flag)."""
     return verdicts.agg(

@@ -230,6 +230,24 @@ def eligible_candidates(spark, d):
 # ---- documents and files ------------------------------------------------------
 
 
+def rubric_texts(spark, d):
+    """All rubrics in the text format, written by arm and read back; some rationales hold what has to be escaped."""
+    rows = X.criteria(spark, d).withColumn("rationale", F.when(F.col("pos") % 4 == 0, F.concat(F.lit('say "\\'), "rationale", F.lit("\n\tend"))).otherwise(F.col("rationale")))
+    path = G._folder(spark, "rubrics")
+    tables.write_rubrics(rubrics.rubric_texts(rows), path)
+    return spark.read.parquet(path).select("task_id", "arm", F.sha2(F.col("rubric").cast("binary"), 256).alias("digest"))
+
+
+def collected_sessions(spark, d):
+    """Events of the sessions that collection accepts, written by arm and read back."""
+    accepted = collect_results(spark, d).filter("status IN ('done', 'partial')").select(
+        F.col("run").alias("session"), F.when(F.col("run") % 2 == 0, "baseline").otherwise("candidate").alias("arm")
+    )
+    path = G._folder(spark, "collected")
+    tables.write_sessions(X.session_lines(spark, d), accepted, path)
+    return spark.read.parquet(path).select("session", "arm", "line_no", "type")
+
+
 def export_document(spark, d):
     """The exported document, written and read back: its tasks with the summary's numbers beside them."""
     records = RQ.records(spark, d)
@@ -419,6 +437,10 @@ QUERIES = {
     "export_document": (export_document, f"""WITH {X.PAIRS}, s AS ({RQ.QUERIES['batch_summary'][1].split(X.PAIRS, 1)[1]})
         SELECT task_id, baseline_passrate, candidate_passrate, export_ok AS passed, (baseline_over_limit::INT + candidate_under_limit::INT + candidate_not_better::INT + gain_too_small::INT)::INT AS n_violations,
         n_passed, candidate_mean, n_tasks AS task_count FROM records, s"""),
+    "rubric_texts": (rubric_texts, f"""WITH {X.CRITERIA}, r AS (SELECT task_id, arm, pos, '[[criterion]]' || chr(10) || 'name = "' || name || '"' || chr(10) || 'description = "' || description || '"' || chr(10) || 'type = "likert"' || chr(10)
+          || 'points = 5' || chr(10) || 'weight = ' || weight || chr(10) || 'score = ' || coalesce(score, 0) || chr(10) || 'rationale = "'
+          || CASE WHEN pos % 4 = 0 THEN 'say \\"\\\\' || rationale || '\\n\\tend' ELSE rationale END || '"' || chr(10) AS b FROM criteria)
+        SELECT task_id, arm, sha256(string_agg(b, chr(10) ORDER BY pos)) AS digest FROM r GROUP BY 1, 2"""),
     "submission_scan": (submission_scan, f"""WITH {RQ._FULL} SELECT 'CT-' || task_id AS id, baseline_passrate::VARCHAR AS baseline_passrate, candidate_passrate::VARCHAR AS candidate_passrate, task_type, domain, language, NULL::VARCHAR AS bad_pattern FROM records_full"""),
     "manifest_scan": (manifest_scan, """SELECT 'CT-' || c_custkey AS task_id, (row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1)::INT AS pos, c_mktsegment AS task_type, 'git' AS clone_method,
         CASE WHEN c_custkey % 3 = 0 THEN 'old ' ELSE 'new ' END || c_custkey AS prompt, CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 2 END AS n_followups FROM customer"""),
@@ -438,3 +460,6 @@ QUERIES = {
         SELECT doc_id, project_path, project_name, domain, sha256(p || CASE WHEN doc_id % 2 = 0 THEN ' | again' ELSE '' END) AS prompts, 'more' AS followups,
         CASE WHEN doc_id % 3 <> 0 THEN 'one | two' END AS acceptance_criteria, sha256(CASE WHEN doc_id % 3 <> 0 THEN 'described' ELSE p END) AS task_description FROM d"""),
 }
+
+QUERIES["collected_sessions"] = (collected_sessions, f"""SELECT conv_id AS session, CASE WHEN conv_id % 2 = 0 THEN 'baseline' ELSE 'candidate' END AS arm, turn AS line_no, role AS type
+    FROM conversations WHERE conv_id IN (SELECT run FROM ({QUERIES['collect_results'][1]}) WHERE status IN ('done', 'partial'))""")

@@ -96,19 +96,19 @@ PAIRS = VERDICTS + """, pairs AS (
 
 TASKS = """
 tasks AS (
-  SELECT c_custkey // 2 AS pair_id, c_mktsegment AS task_type, r_name AS domain, n_name AS language
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 2 = 0
+  SELECT c_custkey // 2 AS pair_id, arg_min(c_mktsegment, c_custkey) AS task_type, arg_min(r_name, c_custkey) AS domain, arg_min(n_name, c_custkey) AS language
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1
 )"""
 
 
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Task dimensions: segment, region and nation of each pair's first customer."""
+    """Task dimensions: segment, region and nation of the first of each pair of customers."""
     nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return (
-        table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.expr("c_custkey div 2").alias("pair_id"), F.col("c_mktsegment").alias("task_type"),
-                F.col("r_name").alias("domain"), F.col("n_name").alias("language"))
+    first = table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 2").alias("pair_id")).agg(
+        F.min(F.struct("c_custkey", "c_mktsegment", "c_nationkey")).alias("c")
+    )
+    return first.join(nation, F.col("c.c_nationkey") == F.col("n_nationkey")).select(
+        "pair_id", F.col("c.c_mktsegment").alias("task_type"), F.col("r_name").alias("domain"), F.col("n_name").alias("language")
     )
 
 

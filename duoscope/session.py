@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-CHECKPOINT_KEY = "spark.checkpoint.dir"
-
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,8 +24,3 @@ def build_session(app_name: str = "duoscope", **overrides: str) -> SparkSession:
     for key, value in {**DEFAULTS, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the cluster, or None when unset."""
-    return spark.conf.get(CHECKPOINT_KEY, None)

@@ -19,9 +19,9 @@ def write_submission(rows: DataFrame, path: str, arms: Arms = ARMS) -> None:
     rows.select(*columns).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_report(rows: DataFrame, path: str) -> None:
-    """The exported report: one JSON object per task."""
-    rows.write.mode("overwrite").json(path)
+def write_rubrics(texts: DataFrame, path: str) -> None:
+    """Rubrics as texts (``task_id, arm, rubric``), by arm; a row each, as a file each would be too many."""
+    texts.write.mode("overwrite").partitionBy("arm").parquet(path)
 
 
 def append_ledger(writes: DataFrame, path: str) -> None:

@@ -171,6 +171,29 @@ def test_stream_collects_once(spark, tmp_path):
         assert sorted(r.line_count for r in rows) == sorted([1, 2, 3] + [1] * more)
 
 
+def test_stream_judges_what_it_collects(spark, tmp_path):
+    land, out = tmp_path / "land", str(tmp_path / "out")
+    land.mkdir()
+    user = '{"type":"user","sessionId":"s1","message":{"role":"user","content":[{"type":"text","text":"q"}]}}\n'
+    model = '{"type":"assistant","message":{"role":"assistant","model":"Qwen-1","content":"a"}}\n'
+    (land / "good.jsonl").write_text((user + model) * 6)
+    (land / "short.jsonl").write_text(user + model)
+    (land / "other.jsonl").write_text(user)
+    seen = spark.read.text(str(land)).select(F.col("_metadata.file_path").alias("file_path")).distinct().filter("file_path NOT LIKE '%other%'")
+    runs = seen.select("file_path", F.lit("collect").alias("action"), F.lit("qwen").alias("provider"), F.lit("s1").alias("session"))
+    collect_sessions(spark, str(land), out, f"judged-{tmp_path.name}", runs)
+    got = {r.file_path.rsplit("/", 1)[1]: (r.status, r.error, r.first_user_query) for r in spark.read.parquet(out).collect()}
+    assert got == {"good.jsonl": ("done", None, "q"), "short.jsonl": ("failed", "incomplete", "q"), "other.jsonl": (None, None, "q")}
+
+
+def test_session_defaults(spark):
+    from duoscope.session import DEFAULTS, build_session
+
+    session = build_session("x", **{"spark.sql.adaptive.enabled": "false"})
+    assert session.conf.get("spark.sql.adaptive.enabled") == "false" and "spark.sql.adaptive.skewJoin.enabled" in DEFAULTS
+    session.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("x-1", 0.5)], "id string, baseline_passrate double")
     tables.write_submission(rows, str(tmp_path / "csv"))
