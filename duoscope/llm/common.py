@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,26 @@ def default_parts(spark: SparkSession, rows: int, rows_per_part: int = 20_000, m
     return min(most, max(rows // rows_per_part + 1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def trim() -> None:
+    """Give memory that is free in this process back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def trimmed(step):
+    """A ``mapInArrow`` step after which a worker, which waits for its next task, keeps no free memory."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            trim()
+
+    return run
+
+
 # ---- vectorised hashing of words in Arrow string arrays -------------------------------------
 
 _U = np.uint64
@@ -151,27 +172,59 @@ def runs_of(hashes: np.ndarray, size: int) -> np.ndarray:
 FILTER_BITS = (14, 27)
 
 
+#: Bits of a filter that one row brings to the driver.
+_BLOCK_BITS = 17
+
+
+def _filter_blocks(bits: int):
+    """Per block of the table its bits; the slots of a block come together."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 1 << min(bits, _BLOCK_BITS)
+        at, block = None, np.zeros(size, bool)
+
+        def row():
+            packed = np.packbits(block, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([packed], pa.binary())], names=["block", "bits"])
+
+        for batch in batches:
+            slots = batch.column("slot").to_numpy()
+            for b in np.unique(slots >> _BLOCK_BITS).tolist():
+                if b != at:
+                    if at is not None:
+                        yield row()
+                    at, block = b, np.zeros(size, bool)
+                block[slots[slots >> _BLOCK_BITS == b] & (size - 1)] = True
+        if at is not None:
+            yield row()
+
+    return run
+
+
 class HashFilter:
     """A broadcast bit table of 64-bit hashes: never a false negative, of bounded size.
 
     ``hashes`` has one column of distinct values. With very many of them the table fills up
-    and lets more pass; what passes is compared exactly by the caller.
+    and lets more pass; what passes is compared exactly by the caller. The table is put together in blocks where the
+    hashes are; at most 16 MB of bits come to the driver. ``close`` frees it.
     """
 
     def __init__(self, spark: SparkSession, hashes: DataFrame):
         low, high = FILTER_BITS
-        value = F.col(hashes.columns[0])
         bits = min(high, max(low, int(hashes.count() * 16).bit_length()))
-        # At most 2**bits / 64 rows come back, however many hashes there are.
-        rows = hashes.groupBy(F.shiftright(value.bitwiseAND(F.lit((1 << bits) - 1)), 6).alias("at")).agg(
-            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), value.bitwiseAND(F.lit(63)).cast("int"))).alias("set")
-        ).collect()
-        table = np.zeros((1 << bits) // 64, np.int64)
-        for r in rows:
-            table[r["at"]] = r["set"]
+        slot = F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << bits) - 1)).alias("slot")
+        dealt = hashes.select(slot).repartition(F.shiftright("slot", _BLOCK_BITS)).sortWithinPartitions("slot")
+        table = np.zeros((1 << bits) // 64, np.uint64)
+        blocks = dealt.mapInArrow(_filter_blocks(bits), "block bigint, bits binary").toArrow()
+        for block, packed in zip(blocks.column("block").to_pylist(), blocks.column("bits")):
+            words = np.frombuffer(packed.as_buffer(), np.uint64)
+            table[block << (_BLOCK_BITS - 6) :][: len(words)] = words
         self.mask = np.uint64((1 << bits) - 1)
-        self.table = spark.sparkContext.broadcast(table.view(np.uint64))
+        self.table = spark.sparkContext.broadcast(table)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         slot = hashes & self.mask
         return (self.table.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+    def close(self) -> None:
+        """Free the table, once all that uses it is written."""
+        self.table.destroy()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoscope.llm.common import SPACED, crc_fold, mix64, stored, word_hashes, word_spans
+from duoscope.llm.common import SPACED, crc_fold, mix64, stored, trimmed, word_hashes, word_spans
 from duoscope.llm.sorted_files import SortedFiles, blocks, new_folder, read_file, write_file, write_sorted
 
 #: Words of the longest context, its least number of occurrences, and the least gain of a state in nats.
@@ -295,7 +295,7 @@ def grow_tree(
     ranges, tasks = _plan(spark, size // 32)
     count, schema = _count(None, np.zeros(0, _U), ranges)
     base = new_folder(spark, "suffix-tree")
-    filed = stored(_dealt(texts.mapInArrow(count, schema), ranges, tasks).mapInArrow(
+    filed = stored(_dealt(texts.mapInArrow(trimmed(count), schema), ranges, tasks).mapInArrow(
         _file_words(f"{base}/words"), "first bigint, path string, n_types bigint, n_tokens bigint"
     ), "suffix-tree")
     sums = filed.agg(F.sum("n_types"), F.sum("n_tokens")).first()
@@ -308,7 +308,7 @@ def grow_tree(
         ranges, tasks = _plan(spark, tree.n_tokens)
         count, schema = _count(tree, hot, ranges)
         folder = f"{base}/counts-{k}"
-        filed = stored(_dealt(texts.mapInArrow(count, schema), ranges, tasks).mapInArrow(
+        filed = stored(_dealt(texts.mapInArrow(trimmed(count), schema), ranges, tasks).mapInArrow(
             _file_counts(folder, hot), "first bigint, path string, context bigint, c bigint, u bigint"
         ), "suffix-tree")
         counts = SortedFiles(folder, _files(filed))
@@ -378,7 +378,7 @@ def score_texts(docs: DataFrame, tree: Tree, text: str = "text") -> DataFrame:
     own = [c for c in docs.columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score", "_text")]
     fields = ", ".join([f"`{c}` {t}" for c, t in docs.dtypes if c in own] + [_SCORES])
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")
-    scored = docs.select(*[F.col(f"`{c}`") for c in own], body).mapInArrow(_score(tree, own), fields)
+    scored = docs.select(*[F.col(f"`{c}`") for c in own], body).mapInArrow(trimmed(_score(tree, own)), fields)
     return scored.withColumn("train_tokens", F.lit(tree.n_tokens).cast("bigint"))
 
 

@@ -4,29 +4,37 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from duoscope.llm.common import default_parts, order_bounds, shared_dir, stored
+from duoscope.llm.common import (
+    WordKind, default_parts, order_bounds, shared_dir, stored, trimmed, word_hashes, word_spans,
+)
+from duoscope.llm.sorted_files import blocks
 
 END_ID = 2
 #: Ids in a sequence, and sequences in a record batch.
 SEQUENCE = 2048
 BATCH = 64
-#: Pieces of text up to this length are remembered by a Python worker, this many twice over.
-PIECE, REMEMBERED = 40, 150_000
+#: Runs of letters up to this length are remembered by a Python worker, this many twice over; and so many pieces of text.
+PIECE, RUNS, REMEMBERED = 40, 100_000, 500_000
+#: Pieces are what lies between blanks and line feeds.
+PIECES = WordKind({0x20, 0x0A})
 
 ENCODED = "part int, doc_id bigint, ids binary"
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
-BACK = "part int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint"
+BACK = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 # What a tokenizer does before its model if its ids can be found word by word.
@@ -75,11 +83,13 @@ class Encoder:
         self.by_word &= not any(" " in t or "\n" in t for t in specials)
         self.by_word &= not any(t[k] for t in shape["added_tokens"] for k in ("lstrip", "rstrip", "single_word"))
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.code = {2: "H", 4: "I"}[self.width.itemsize] if sys.byteorder == "little" else None
+        self.by_word &= self.code is not None
+        self.model = self.tokenizer.model
         self.letters = str.maketrans(_byte_letters())
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
         self.young_runs: dict[str, bytes] = {}
         self.old_runs: dict[str, bytes] = {}
+        self._forget()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,45 +99,84 @@ class Encoder:
         if ids is None:
             ids = self.old_runs.get(run)
             if ids is None:
-                spelled = run.encode("utf-8").decode("latin-1").translate(self.letters)
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.width).tobytes()
+                # Printable ASCII is spelled as itself.
+                spelled = run if run.isascii() else run.encode("utf-8").decode("latin-1").translate(self.letters)
+                ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
             if len(run) <= PIECE:
                 self.young_runs[run] = ids
         return ids
 
     def _pieces(self, wanted: list[str]) -> dict[str, bytes]:
-        out, rest = {}, []
+        """Ids of each piece."""
+        out, rest, run = {}, [], self._run
         for w in wanted:
-            if _LATIN.fullmatch(w) and not any(s in w for s in self.starts):
-                out[w] = b"".join(map(self._run, _RUNS.findall(w.lower())))
+            latin = w.isprintable() and "'" not in w if w.isascii() else _LATIN.fullmatch(w)
+            if latin:
+                low = w.lower()
+                out[w] = run(low) if low.isalpha() and low.isascii() else b"".join(map(run, _RUNS.findall(low)))
             else:
                 rest.append(w)
         if rest:
             out.update(zip(rest, self._whole(rest)))
-        if len(self.young_runs) > 2 * REMEMBERED:
+        if len(self.young_runs) > RUNS:
             self.old_runs, self.young_runs = self.young_runs, {}
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, little-endian, in as few bytes as the vocabulary needs."""
+    def _places(self, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the ids of each piece are, by its hash; new pieces are encoded."""
+        at = np.searchsorted(self.codes, codes)
+        known = at < len(self.codes)
+        known[known] = self.codes[at[known]] == codes[known]
+        new = np.flatnonzero(~known)
+        if len(new) + len(self.codes) > REMEMBERED and len(self.codes):
+            self._forget()
+            return self._places(codes, data, starts, ends)
+        if len(new):
+            body = data.tobytes()
+            words = [body[a:b].decode("utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            found = self._pieces(words)
+            ids = [found[w] for w in words]
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width.itemsize
+            offset = len(self.pool) + np.cumsum(size) - size
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), self.width)])
+            self.offset, self.size = np.concatenate([self.offset, offset]), np.concatenate([self.size, size])
+            self.codes = np.insert(self.codes, at[new], codes[new])
+            self.entry = np.insert(self.entry, at[new], len(self.size) - len(new) + np.arange(len(new)))
+            at = np.searchsorted(self.codes, codes)
+        return self.entry[at]
+
+    def _forget(self) -> None:
+        self.codes, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.pool, self.offset, self.size = np.zeros(0, self.width), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, little-endian, in as few bytes as the vocabulary needs.
+
+        Pieces are found and told apart by 64-bit hashes of their bytes (ASCII letters in either case, as they are encoded alike), a block of
+        text at a time; the ids of those met before are gathered.
+        """
+        texts = texts.fill_null("")
         if not self.by_word:
-            return self._whole(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        young, old = self.young, self.old
-        fresh: list[str] = []
-        for w in set().union(*split) - young.keys():
-            if w in old:
-                young[w] = old[w]
-            else:
-                fresh.append(w)
-        young.update(self._pieces(fresh))
-        out = [b"".join(map(young.__getitem__, pieces)) for pieces in split]
-        for w in fresh:
-            if len(w) > PIECE:
-                del young[w]
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {"": b""}
-        return out
+            return self._whole(texts.to_pylist())
+        special = np.zeros(len(texts), bool)
+        for s in self.starts:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        out: list[list[bytes]] = [[] for _ in range(len(texts))]
+        for b in blocks(pc.if_else(pa.array(special), "", texts), PIECES):
+            starts, ends, edges = word_spans(b.data, b.offsets, PIECES)
+            codes, first, back = np.unique(word_hashes(b.data, starts, ends, PIECES), return_index=True, return_inverse=True)
+            places = self._places(codes, b.data, starts[first], ends[first])[back]
+            size = self.size[places]
+            bounds = np.zeros(len(size) + 1, np.int64)
+            np.cumsum(size, out=bounds[1:])
+            ids = self.pool[np.repeat(self.offset[places] - bounds[:-1], size) + np.arange(bounds[-1])]
+            cuts = bounds[edges].tolist()
+            for row, (lo, hi) in enumerate(zip(cuts, cuts[1:]), b.first):
+                out[row].append(ids[lo:hi].tobytes())
+        rows = np.flatnonzero(special).tolist()
+        for row, ids in zip(rows, self._whole([texts[i].as_py() for i in rows]) if rows else []):
+            out[row] = [ids]
+        return [o[0] if len(o) == 1 else b"".join(o) for o in out]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -148,11 +197,11 @@ def _encode(path: str, bounds: np.ndarray, end_id: int):
         it = encoder(path)
         end = np.array([end_id], it.width).tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
                 keys = batch.column("doc_id")
                 parts = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), side="right")
-                ids = it.encode(batch.column("text").fill_null("").to_pylist())
+                ids = it.encode(batch.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(parts, pa.int32()), keys, pa.array([i + end for i in ids], pa.binary())],
                     names=["part", "doc_id", "ids"],
@@ -262,9 +311,10 @@ def write_tokens(
     n = parts or default_parts(spark, rows.count())
     bounds = order_bounds(rows, "doc_id", n)
     width = encoder(tokenizer).width
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = (
-        rows.mapInArrow(_encode(tokenizer, bounds, end_id), ENCODED)
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
+        rows.mapInArrow(trimmed(_encode(tokenizer, bounds, end_id)), ENCODED)
+        .repartitionById(tasks, F.pmod("part", F.lit(tasks)))
         .sortWithinPartitions("part", "doc_id", "ids")
     )
     manifest = stored(dealt.mapInArrow(_write(base, width, sequence), MANIFEST), "tokens")
@@ -295,29 +345,28 @@ def _documents(base: str, path: str) -> Iterator[tuple[int | None, int, np.ndarr
 
 def _read(base: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _ENCODERS.clear()  # all is encoded by now, and what this worker remembers can go
         for batch in batches:
-            for part, path in zip(batch.column("part").to_pylist(), batch.column("path").to_pylist()):
+            for path, before in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
                 rows = [
-                    (part, doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                    (doc_id, before + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
                     for doc_id, start, ids in _documents(base, path)
                 ]
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                    names=["part", "doc_id", "at", "n_tokens", "ids_crc32"],
+                    [pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
     return run
 
 
 def read_tokens(manifest: DataFrame, base: str) -> DataFrame:
-    """Read the files of a manifest: per document its id, global start, length and checksum."""
+    """Read the files of a manifest: per document its id, global start, length and checksum.
+
+    A file's start travels with its path, so nothing is joined.
+    """
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    back = manifest.select("part", "path").repartition(n, "part").mapInArrow(_read(base), BACK)
-    starts = manifest.select("part", F.col("start").alias("_before"))
-    return back.join(starts, "part").select(
-        "doc_id", (F.col("at") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    files = manifest.select("path", "start", F.pmod("part", F.lit(n)).alias("task"))
+    return files.repartitionById(n, "task").mapInArrow(trimmed(_read(base)), BACK)
 
 
 def token_output(docs: DataFrame, tokenizer: str | None = None, **options) -> DataFrame:
