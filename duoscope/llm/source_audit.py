@@ -6,7 +6,7 @@ A kept term's row is its counts in the sources that have it. Most counts are zer
 
 with z the value of a count of zero. The last part comes from a tree: rows, in source order and with multiplicities, are
 inserted as paths of (source, count) nodes, and a node meets each of its ancestors once, for all rows that share the path.
-The tree is never whole in memory: rows are dealt out in ranges and arrive sorted, so a task holds one path at a time, and a path that
+The tree is never whole in memory: rows are dealt out by their first entries and arrive sorted, so a task holds one path at a time, and a path that
 lies in two tasks gives two nodes whose sums add up.
 """
 
@@ -26,6 +26,8 @@ from duoscope.llm.sorted_files import blocks
 
 #: A language keeps the terms of so many of its documents at least; a group reports so many of its terms.
 LEAST_DOCS, TOP_TERMS = 10, 10
+#: Rows with so many first entries in common are in one task.
+SHARED_START = 3
 #: Terms are runs of letters and of everything beyond ASCII (A-Z count as a-z).
 LETTERS = WordKind({*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)})
 
@@ -131,7 +133,8 @@ class _Path:
     def __init__(self) -> None:
         self.items: list[tuple] = []
         self.times: list[int] = []
-        self.p, self.z, self.ids = (np.zeros(16, np.int64) for _ in range(3))
+        #: Per node its share and the share of a count of zero, and the number of its source.
+        self.shares, self.ids = np.ones((2, 16), np.int64), np.zeros(16, np.int64)
         self.sources: dict[str, int] = {}
         self.sums: dict[int, np.ndarray] = {}
 
@@ -143,8 +146,10 @@ class _Path:
         if d == 0:
             return
         self.times[-1] += times
-        p, z, q, w = self.p[:d], self.z[:d], self.p[d], self.z[d]
-        both = (p - q) ** 2 // (p + q) - (p - w) ** 2 // (p + w) - (z - q) ** 2 // (z + q) + (z - w) ** 2 // (z + w)
+        # Gaps of both shares of this node to both shares of every ancestor.
+        mine, theirs = self.shares[:, d][:, None, None], self.shares[:, :d]
+        gaps = (mine - theirs) ** 2 // (mine + theirs)
+        both = gaps[0, 0] - gaps[0, 1] - gaps[1, 0] + gaps[1, 1]
         sums = self.sums.get(self.ids[d])
         if sums is None or len(sums) < len(self.sources):
             grown = np.zeros(2 * len(self.sources), np.int64)
@@ -159,12 +164,13 @@ class _Path:
             shared += 1
         while len(self.items) > shared:
             self._close()
-        if len(row) > len(self.p):
-            self.p, self.z, self.ids = (np.resize(a, 2 * len(row)) for a in (self.p, self.z, self.ids))
+        if len(row) > len(self.ids):
+            more = 2 * len(row) - len(self.ids)
+            self.shares, self.ids = np.pad(self.shares, ((0, 0), (0, more))), np.pad(self.ids, (0, more))
         for i in range(shared, len(row)):
             source, _, p, z = row[i]
             self.ids[i] = self.sources.setdefault(source, len(self.sources))
-            self.p[i], self.z[i] = p, z
+            self.shares[:, i] = p, z
             self.items.append(row[i])
             self.times.append(0)
         if row:
@@ -205,8 +211,9 @@ def tree_sums(rows: DataFrame) -> DataFrame:
     ``rows`` has ``lang``, ``row`` (a list of source, count, share and share of a count of zero, in
     source order) and ``times``; equal rows come once.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("lang", "times", "row").repartitionByRange(parts, "lang", "row").sortWithinPartitions("lang", "row")
+    # Rows that begin alike meet; no more of a row is needed to deal it, and none goes to the driver as a sample.
+    start = F.xxhash64("lang", F.slice("row", 1, SHARED_START))
+    dealt = rows.select("lang", "times", "row").repartition(start).sortWithinPartitions("lang", "row")
     return dealt.mapInArrow(_walk, "lang string, a string, b string, value bigint")
 
 
