@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from duoscope.llm.common import ALNUM, HashFilter, runs_of, stored, text_chunks, word_hashes, word_spans
+from duoscope.llm.common import ALNUM, HashFilter, runs_of, stored, text_chunks, trimmed, word_hashes, word_spans
 
 WINDOW = 10
 SHINGLE = 3
@@ -138,7 +138,7 @@ def contamination(
     )
     vocabulary = windows.select(F.explode("shingles").alias("shingle")).distinct()
     wanted = HashFilter(spark, vocabulary)
-    rarity = rows.select("text").mapInArrow(_frequencies(sizes, wanted), COUNTS).groupBy("shingle").agg(
+    rarity = rows.select("text").mapInArrow(trimmed(_frequencies(sizes, wanted)), COUNTS).groupBy("shingle").agg(
         F.sum("freq").alias("freq")
     )
     # One row per window, under its rarest shingle.
@@ -149,14 +149,16 @@ def contamination(
     filed = stored(
         ranked.filter("best.freq > 0").select("win", "n", "items", "best.shingle", "best.offset"), "leaks"
     )
+    wanted.close()
     prefix = HashFilter(spark, filed.select("shingle").distinct())
     kind = dict(rows.dtypes)["_key"]
     # Row numbers stay as they are once the rows are written.
     found = stored(
-        rows.mapInArrow(_candidates(sizes, prefix, window), FOUND.format(kind=kind))
+        rows.mapInArrow(trimmed(_candidates(sizes, prefix, window)), FOUND.format(kind=kind))
         .withColumn("uid", F.monotonically_increasing_id()),
         "leaks",
     )
+    prefix.close()
     spread = F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")
     seen = found.select("uid", "n_words", F.inline("found")).withColumn("salt", spread)
     under = filed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

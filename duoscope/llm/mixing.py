@@ -92,7 +92,9 @@ def mix(
         F.col(size).alias("_m_size"),
         F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, HASH_DIGITS).alias("_hash"),
     )
-    small = rows.groupBy("_m_source", _bucket(1).alias("_b")).agg(F.sum("_m_size").alias("_s"))
+    # What thresholds are looked for in: sizes alone, written once, however wide the documents are.
+    counted = stored(rows.select("_m_source", "_m_size", "_hash"), "mix")
+    small = counted.groupBy("_m_source", _bucket(1).alias("_b")).agg(F.sum("_m_size").alias("_s"))
     level = stored(small, "mix")
     targets = stored(
         source_targets(
@@ -112,7 +114,7 @@ def mix(
     ).withColumn("_cut", F.lit(""))
     for n in range(1, LEVELS + 1):
         if n > 1:
-            inside = rows.join(
+            inside = counted.join(
                 state.select(F.col("_m_source").alias("_src"), "_cut"),  # written, so its size is known to the planner
                 F.col("_m_source").eqNullSafe(F.col("_src")) & (_bucket(n - 1) == F.col("_cut")),
                 "left_semi",
@@ -140,7 +142,7 @@ def mix(
         )
     # Rows on the threshold, and how many there are of each source (1 unless keys repeat).
     on_cut = (
-        rows.join(
+        counted.join(
             state.select(F.col("_m_source").alias("_src"), "_cut"),
             F.col("_m_source").eqNullSafe(F.col("_src")) & (F.col("_hash") == F.col("_cut")),
             "left_semi",

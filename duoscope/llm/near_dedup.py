@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.llm.common import (
-    SPACED, HashFilter, mix64, runs_of, seeded, stored, text_chunks, word_hashes, word_spans,
+    SPACED, HashFilter, mix64, runs_of, seeded, stored, text_chunks, trimmed, word_hashes, word_spans,
 )
 
 SHINGLE = 5
@@ -30,6 +30,8 @@ TASK_COMPARISONS = 4_000_000
 #: Comparisons in all that are preferred to a round of pivots.
 FEW_COMPARISONS = 500_000
 PIVOT_ROUNDS = 2
+#: Tasks over which the copies of one text are dealt.
+SALTS = 16
 
 _SIG = [f"s{i}" for i in range(PACKED)]
 SKETCH = "doc bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, " + ", ".join(
@@ -145,7 +147,9 @@ def _of_ids(texts: DataFrame, ids: DataFrame, step, schema: str) -> DataFrame:
     The ids are met as a bit table of bounded size where the texts are read, so texts are not shuffled.
     """
     wanted = HashFilter(texts.sparkSession, ids.select(F.xxhash64("doc").alias("hash")))
-    return stored(texts.withColumn("hash", F.xxhash64("doc")).mapInArrow(step(wanted), schema), "near")
+    out = stored(texts.withColumn("hash", F.xxhash64("doc")).mapInArrow(trimmed(step(wanted)), schema), "near")
+    wanted.close()
+    return out
 
 
 def _differing(x: Column, bits: int) -> Column:
@@ -304,6 +308,10 @@ def _all_apart(opened: DataFrame, reps: DataFrame, texts: DataFrame, percent: in
     return other.join(one, same & apart & close).select("a", "b").distinct()
 
 
+def _salted(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """One row per document: ``key, n_shingles, component_id, kept``.
 
@@ -322,13 +330,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     ignored.
     """
     texts = docs.select(F.col(key).cast("bigint").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sketch = stored(texts.mapInArrow(_sketches, SKETCH), "near")
+    sketch = stored(texts.mapInArrow(trimmed(_sketches), SKETCH), "near")
     classes = (
         sketch.filter("n_shingles > 0 AND doc IS NOT NULL")
         .groupBy("set_hi", "set_lo").agg(F.min("doc").alias("class"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1").drop("n")
     )
-    classed = sketch.join(classes, ["set_hi", "set_lo"], "left").withColumn("class", F.coalesce("class", "doc"))
+    # A class is one row, and has one for each salt here, so its copies are dealt over several tasks.
+    salt = F.pmod(F.xxhash64("doc", "n_shingles"), F.lit(SALTS)).cast("int")
+    classed = sketch.withColumn("salt", salt).join(_salted(classes), ["set_hi", "set_lo", "salt"], "left").withColumn(
+        "class", F.coalesce("class", "doc")
+    )
     members = stored(classed.select("doc", "n_shingles", "class"), "near")
     reps = stored(
         classed.filter("doc = class AND n_shingles > 0").select("doc", "n_shingles", "bands", *_SIG)
@@ -393,7 +405,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         tried = stored(tried.union(fresh), "near")
 
     root = F.coalesce("root", "class")
-    final = members.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    final = members.withColumn("salt", salt).join(_salted(labels.withColumnRenamed("node", "class")), ["class", "salt"], "left")
     return final.select(
         F.col("doc").alias(key), "n_shingles", root.alias("component_id"),
         F.coalesce(F.col("doc") == root, F.lit(True)).alias("kept"),
