@@ -19,16 +19,22 @@ from duoscope.llm.token_files import token_output
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality field does not reject."""
+    """Documents that the quality field does not reject: each row by its text, null texts as empty ones, ids and repeats regardless."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return score_quality(docs, labels).filter("predicted = 1").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates; rows without an id stay."""
-    kept = near_duplicates(docs.select("doc_id", "text")).filter("kept").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return first.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    """One document of each group of near-duplicates: each row by its own text, whether its id is null or repeated.
+
+    Of a group the row with the smallest id stays, null ids last; of rows that tie any one. Null and empty texts are
+    no near-duplicates and stay. An empty table gives no rows.
+    """
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows", "zstd")
+    groups = near_duplicates(rows.select("_row", "text"), key="_row").select("_row", "component_id")
+    ids = rows.select("_row", F.col("doc_id").isNull().alias("_none"), "doc_id")
+    first = groups.join(ids, "_row").groupBy("component_id").agg(F.min(F.struct("_none", "doc_id", "_row")).alias("_f"))
+    return rows.join(first.select(F.col("_f._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +47,20 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    Sizes are words; null and empty texts have none and are not taken. A null source is a source of its own; equal rows are
+    taken each for itself; an empty table gives no rows.
+    """
     mixed = mix(docs.withColumn("_size", word_count()), size="_size")
     return mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the documents, read back: one row per document and copy."""
+    """Token files of the documents, read back: one row per document and copy.
+
+    Null texts count as empty (the end id alone), null ids come first, equal ids follow each other; an empty table gives no rows.
+    """
     return token_output(docs.select("doc_id", "text"))
 
 
