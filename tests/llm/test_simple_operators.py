@@ -56,6 +56,14 @@ def test_shards_of_an_empty_table_and_clashing_columns(spark):
     assert sorted(r.shard for r in shards.byte_shards(rows, 2).collect()) == [0, 1]
 
 
+def test_shards_keep_columns_of_any_name(spark):
+    names = ["doc_id", "size", "row", "key", "bytes", "total", "_total", "_rows_before", "number", "first", "a.b"]
+    rows = spark.createDataFrame([tuple([i, 5] + [i * 10 + k for k in range(len(names) - 2)]) for i in range(20)], ", ".join(f"`{n}` bigint" for n in names))
+    out = shards.byte_shards(rows, 4).collect()
+    assert sorted(tuple(r[n] for n in names) for r in out) == sorted(tuple(r) for r in rows.collect())
+    assert sorted((r.shard, r.slot) for r in out) == [(s, k) for s in range(4) for k in range(5)]
+
+
 # ---- mixing ---------------------------------------------------------------
 
 
@@ -132,6 +140,49 @@ def label(spans):
     return ",".join(f"{('assign', 'access', 'hex', 'token')[k]}:{a}:{b}" for a, k, b in spans)
 
 
+TOKEN_A, TOKEN_B, TOKEN_C = "Zz0" + "aB3" * 8, "Yy1" + "cD4" * 8, "Xx2" + "eF5" * 8
+
+
+def test_tokens_by_owners_and_repositories(spark):
+    rows = [(i, f"see {TOKEN_A}, ok", o, "r") for i, o in enumerate(["a", "b", None])]  # three owners
+    rows += [(10 + i, f"{TOKEN_B} {TOKEN_B}", "c", f"r{i}") for i in range(3)] + [(20, "none", "c", "r3"), (21, "none", "c", "r4")]  # 3 of 5 repositories
+    rows += [(30 + i, TOKEN_C, "d", f"r{i}") for i in range(3)] + [(40 + i, None, "d", f"r{3 + i}") for i in range(3)]  # 3 of 6
+    schema = "doc_id bigint, text string, who string, place string"
+    df = spark.createDataFrame(rows + rows[:1], schema).selectExpr("*", "1 AS base", "2 AS spans", "3 AS owner", "4 AS repo", "5 AS salt", "6 AS source")
+    from pyspark.sql import functions as F
+
+    out = secrets.scan_secrets(df, owner=F.col("who"), repo=F.col("place")).collect()
+    assert len(out) == len(rows) + 1
+    for x in out:
+        found = [(s.start, s.kind, s.end) for s in x.spans]
+        assert (x.n_live, x.n_examples) == ((0, 1) if x.doc_id < 10 else (0, 2) if x.doc_id < 20 else (1, 0) if 30 <= x.doc_id < 40 else (0, 0))
+        assert found == ([(0, 3, 27)] if 30 <= x.doc_id < 40 else [])
+        if x.doc_id < 10:
+            assert [(e.start, e.n_owners, e.n_repos) for e in x.examples] == [(4, 3, 3)]
+        if 10 <= x.doc_id < 20:
+            assert [(e.start, e.n_owners, e.n_repos) for e in x.examples] == [(0, 1, 3), (28, 1, 3)]
+    looser = secrets.scan_secrets(df, owner=F.col("who"), repo=F.col("place"), max_owners=3, min_repos=9).collect()
+    assert all(x.n_examples == 0 for x in looser)
+
+
+def test_tokens_that_overlap_base_spans_are_left_out(spark):
+    rows = [row(1, f"token={TOKEN_A}x {TOKEN_B}"), row(2, f"{TOKEN_A}secret={TOKEN_B}"), row(3, f"{TOKEN_C}0123456789abcdef")]
+    out = {x.doc_id: [(s.start, s.kind, s.end) for s in x.spans] for x in secrets.scan_secrets(frame(spark, rows)).collect()}
+    assert out[1] == [(0, 0, 34), (35, 3, 62)]
+    assert out[2] == [(27, 0, 61)]
+    assert all(k < 3 for _, k, _ in out[3])
+
+
+def test_many_matches_in_one_text(spark):
+    import time
+
+    text = " ".join(f"{i:016x}" for i in range(60_000)) + " 😀 " + "deadbeef" * 3
+    began = time.time()
+    out = secrets.scan_secrets(frame(spark, [row(1, text), row(2, "x")])).filter("doc_id = 1").first()
+    assert len(out.base) == 60_001 and (out.base[-1].start, out.base[-1].end) == (60_000 * 17 + 2, 60_000 * 17 + 26)
+    assert time.time() - began < 60
+
+
 def test_base_spans_equal_plain_matching(spark, tmp_path):
     r = random.Random(3)
     bits = ["password", "PassWd", "secret:", "token=", "api_key", "APIKEY", "AKIA", "AKIAAKIA", ": ", "= ", "\"", "'", "😀é",

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -305,6 +306,77 @@ def test_marginals_equal_enumeration():
         assert np.allclose(got[a:b], good / total)
 
 
+def test_fitting_follows_the_gradient_of_latent_labels():
+    rng = np.random.default_rng(1)
+    sizes, y = [1, 3, 2, 4], np.array([1, 0, 0, 1])
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    e, change = rng.normal(size=(sum(sizes), 2)), rng.normal(size=(2, 2))
+
+    def objective(e, change):
+        total = 0.0
+        for d, (a, b) in enumerate(zip(first, first[1:])):
+            n = b - a
+            paths = [sum(e[a + k, c >> k & 1] for k in range(n)) + sum(change[c >> k & 1, c >> (k + 1) & 1] for k in range(n - 1)) for c in range(2**n)]
+            p = np.exp(paths[-1]) / np.exp(paths).sum()  # all lines good
+            total += np.log(p if y[d] else 1 - p)
+        return total
+
+    field = crf_quality.Field(np.zeros(1), np.ones(1), np.zeros((1, 2)), change)
+    good, weights, changes = field.marginals(e, first, y)
+    step = 1e-6
+    for j in (0, 1):
+        for k in (0, 1):
+            up = change.copy()
+            up[j, k] += step
+            assert (objective(e, up) - objective(e, change)) / step == pytest.approx(changes[j, k], abs=1e-4)
+    pull = np.repeat(weights, sizes) * (1 - good)
+    for i in range(len(e)):
+        up = e.copy()
+        up[i, 1] += step
+        assert (objective(up, change) - objective(e, change)) / step == pytest.approx(pull[i], abs=1e-4)
+
+
+def test_long_texts_are_scored_in_blocks_as_in_one(monkeypatch):
+    r = random.Random(5)
+    lines = [r.choice(["", "a b", "BAD | LINE !!", sentence(i, 9), "x" * 40, "again and again", "é漢"]) for i in range(500)]
+    texts = ["\n".join(lines), "\n".join(lines) + "\n", "\n" * 300, "one line only " * 50, "", "short\ntext"]
+    rng = np.random.default_rng(2)
+    width = crf_quality.line_features(np.zeros(0, np.uint8), np.zeros(2, np.int64))[0].shape[1]
+    field = crf_quality.Field(rng.normal(size=width), rng.random(width) + 0.5, rng.normal(size=(width, 2)) / 9, rng.normal(size=(2, 2)))
+    whole = field.shares(pa.array(texts))
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    plain = [field.quality(*crf_quality.line_features(d, np.array([0, len(d)])))[0] for d in data]
+    assert np.allclose(whole, plain)
+    for most, size, scanned in ((7, 60, 13), (64, 1 << 20, 100), (1000, 50, 1)):
+        monkeypatch.setattr(crf_quality, "LINES", most)
+        monkeypatch.setattr(crf_quality, "CHUNK_BYTES", size)
+        monkeypatch.setattr(crf_quality, "SCANNED", scanned)
+        assert np.allclose(field.shares(pa.array(texts)), plain, atol=1e-5)
+
+
+def test_a_text_of_line_feeds_takes_little_memory():
+    import resource
+
+    field = crf_quality.fit_field(["fine words here"] * 9 + ["BAD !! | |\nBAD ||"] * 9, [1] * 9 + [0] * 9)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    share = field.shares(pa.array(["\n" * 3_000_000]))
+    assert len(share) == 1 and 0 <= share[0] <= 1
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+
+
+def test_lines_of_bad_documents_may_be_good():
+    r = random.Random(4)
+    good = [sentence(i, 8) for i in range(400)]
+    texts = ["\n".join(r.sample(good, 4)) for _ in range(150)] + ["\n".join([*r.sample(good, 3), "BAD | LINE !! || !!"]) for _ in range(150)]
+    field = crf_quality.fit_field(texts, [1] * 150 + [0] * 150)
+    data = np.frombuffer(texts[-1].encode(), np.uint8)
+    x, _, first = crf_quality.line_features(data, np.array([0, len(data)]))
+    lines = field.marginals(field.emissions(x), first)
+    assert lines[-1] < 0.2 and lines[0] > 0.8  # though all of them stand in a document of label 0
+    score = field.score(field.shares(pa.array(texts)))
+    assert score[:150].min() > score[150:].max()
+
+
 # ---- languages ------------------------------------------------------------
 
 
@@ -426,3 +498,54 @@ def test_pipeline_judges_rows_with_null_and_repeated_ids_by_themselves(spark, tm
     spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     out = corpus_pipeline.decontaminate(spark, frame(spark, rows), str(tmp_path)).collect()
     assert sorted(((x.doc_id, x.text) for x in out), key=repr) == sorted(((r[0], r[1]) for r in rows if r[1] != leak), key=repr)
+
+
+def test_near_dedup_stage_judges_rows_with_null_and_repeated_ids_by_themselves(spark, tmp_path):
+    a, b, c = sentence(21, 60), sentence(22, 60), sentence(23, 60)
+    near = a.split()
+    near[-1] = "other"
+    rows = [
+        row(1, a), row(7, " ".join(near)), row(7, b), row(None, c), row(None, c), row(None, a), row(8, None), row(9, ""), row(9, ""),
+        row(7, b), row(3, "a b"), row(2, "a b"),
+    ]
+    out = corpus_pipeline.near_dedup(spark, frame(spark, rows), str(tmp_path))
+    assert out.columns == frame(spark, rows).columns
+    got = sorted(((x.doc_id, x.text) for x in out.collect()), key=repr)
+    assert got == sorted([(1, a), (7, b), (None, c), (8, None), (9, ""), (9, ""), (2, "a b")], key=repr)
+    assert corpus_pipeline.near_dedup(spark, frame(spark, []), str(tmp_path)).count() == 0
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    frame(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    for name, schema in (("benchmark", "item_id bigint, text string"), ("labels", "doc_id bigint, quality int")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_documents_are_not_broadcast_when_tokens_are_read(spark):
+    docs = frame(spark, [row(i, sentence(i, 20)) for i in range(50)])
+    out = token_files.token_output(docs, TOKENIZER, parts=5)
+    assert out.count() == 50
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_hash_filter_has_no_false_negative(spark):
+    values = np.random.default_rng(3).integers(-(2**63), 2**63, 300_000)
+    table = common.HashFilter(spark, spark.createDataFrame([(int(v),) for v in values[:60_000]], "h bigint"))
+    assert table(values[:60_000].view(np.uint64)).all()
+    assert table(values[60_000:].view(np.uint64)).mean() < 0.1
+    table.close()
+    empty = common.HashFilter(spark, spark.createDataFrame([], "h bigint"))
+    assert not empty(values.view(np.uint64)).any()
+
+
+def test_copies_of_one_text_are_dealt_over_tasks(spark):
+    rows = [row(i, sentence(31, 30)) for i in range(400)] + [row(1000 + i, sentence(500 + i, 30)) for i in range(30)] + [row(2000, sentence(31, 30) + " more words")]
+    out = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert {x.doc_id: x.component_id for x in out} == {i: c for i, (_, c) in plain_components(rows).items()}
+    small = spark.createDataFrame([(i, 5) for i in range(400)], "doc bigint, n_shingles bigint")
+    from pyspark.sql import functions as F
+
+    salts = small.groupBy(F.pmod(F.xxhash64("doc", "n_shingles"), F.lit(near_dedup.SALTS)).alias("s")).count().collect()
+    assert len(salts) == near_dedup.SALTS and max(r["count"] for r in salts) < 60
