@@ -98,7 +98,7 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 
 SECRETS = r"""
 WITH docs AS (
-  SELECT doc_id, source, coalesce(text, '') AS t FROM documents
+  SELECT doc_id, source, CASE WHEN lang IS NULL THEN coalesce(source, '') ELSE concat_ws('/', source, lang) END AS repo, coalesce(text, '') AS t FROM documents
 ), kinds(kind, name) AS (
   VALUES (0, 'assign'), (1, 'access'), (2, 'hex'), (3, 'token')
 ), raw AS (
@@ -119,8 +119,10 @@ WITH docs AS (
     OR (kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]'))
 ), spans AS (
   SELECT * FROM kept k WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM kept b WHERE b.doc_id = k.doc_id AND b.kind < 3 AND b.s < k.e AND k.s < b.e)
-), owners AS (
-  SELECT v, count(DISTINCT source) + max((source IS NULL)::INT) > 2 AS example FROM spans GROUP BY 1
+), sizes AS (SELECT source, count(DISTINCT repo) AS n FROM docs GROUP BY 1),
+held AS (SELECT v, source, count(DISTINCT repo) AS repos FROM spans JOIN docs USING (doc_id, source) GROUP BY 1, 2),
+owners AS (
+  SELECT v, count(*) > 2 OR bool_or(repos >= 3 AND 2 * repos > n) AS example FROM held JOIN sizes ON held.source IS NOT DISTINCT FROM sizes.source GROUP BY 1
 ), judged AS (
   SELECT doc_id, kind, s, e, example, (SELECT name FROM kinds p WHERE p.kind = spans.kind) || ':' || s || ':' || e AS label
   FROM spans JOIN owners USING (v)
