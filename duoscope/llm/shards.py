@@ -31,42 +31,36 @@ def byte_shards(
     replaced.
     """
     spark = df.sparkSession
-    own = [c for c in df.columns if c not in ("part", "start", "shard", "slot", "row")]
-    rest = [c for c in own if c != order]
+    # The row travels as one value, so none of its columns can clash with those that are made here.
+    own = [c for c in df.columns if c not in ("part", "start", "shard", "slot")]
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stored(
-        df.select(*own).repartitionByRange(parts, F.col(order), *[F.col(c) for c in rest])
-        .withColumn("part", F.spark_partition_id()),
-        "shards",
+    packed = df.select(
+        F.col(f"`{order}`").alias("key"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(f"`{size}`").alias("bytes")
     )
+    dealt = stored(packed.repartitionByRange(parts, "key", "row").withColumn("part", F.spark_partition_id()), "shards")
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     # One row per part, of which there are as many as were asked for above.
-    totals = dealt.groupBy("part").agg(F.sum(size).alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+    totals = dealt.groupBy("part").agg(F.sum("bytes").alias("part_bytes"), F.count(F.lit(1)).alias("part_rows"))
     offsets = totals.select(
         "part",
-        F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_bytes_before"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
-        F.sum("_bytes").over(W.partitionBy()).alias("_total"),
+        F.coalesce(F.sum("part_bytes").over(before), F.lit(0)).alias("bytes_before"),
+        F.coalesce(F.sum("part_rows").over(before), F.lit(0)).alias("rows_before"),
+        F.sum("part_bytes").over(W.partitionBy()).alias("total"),
     )
-    inside = W.partitionBy("part").orderBy(order, *rest).rowsBetween(W.unboundedPreceding, -1)
-    number = W.partitionBy("part").orderBy(order, *rest)
-    start = F.coalesce(F.sum(size).over(inside), F.lit(0)) + F.col("_bytes_before")
+    number = W.partitionBy("part").orderBy("key", "row")
+    start = F.coalesce(F.sum("bytes").over(number.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col("bytes_before")
+    shard = F.least(F.expr(f"(2 * start + bytes) * {int(shards)} div (2 * total)"), F.lit(int(shards) - 1)).cast("int")
     placed = stored(
         dealt.join(F.broadcast(offsets), "part")
         .withColumn("start", start)
-        .withColumn("row", F.row_number().over(number) - 1 + F.col("_rows_before"))
-        .withColumn(
-            "shard",
-            F.least(
-                F.expr(f"(2 * start + {size}) * {int(shards)} div (2 * _total)"), F.lit(int(shards) - 1)
-            ).cast("int"),
-        )
-        .select(*own, "start", "row", "shard"),
+        .withColumn("number", F.row_number().over(number) - 1 + F.col("rows_before"))
+        .withColumn("shard", shard)
+        .select("row", "start", "number", "shard"),
         "shards",
     )
-    firsts = placed.groupBy("shard").agg(F.min("row").alias("_first"))  # one row per shard
+    firsts = placed.groupBy("shard").agg(F.min("number").alias("first"))  # one row per shard
     return placed.join(F.broadcast(firsts), "shard").select(
-        *own, "start", "shard", (F.col("row") - F.col("_first")).alias("slot")
+        *[F.col("row").getField(c).alias(c) for c in own], "start", "shard", (F.col("number") - F.col("first")).alias("slot")
     )
 
 
