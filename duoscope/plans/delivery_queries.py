@@ -22,6 +22,7 @@ from duoscope.plans import rubric_queries as RQ
 from duoscope.plans import session_queries as SQ
 from duoscope.sinks import tables
 from duoscope.sources import delivery_files as D
+from duoscope.streaming.collect import collect_sessions
 
 INSTRUCTIONS = "Score the session by the criteria. Return criteria only."
 
@@ -238,6 +239,35 @@ def rubric_texts(spark, d):
     return spark.read.parquet(path).select("task_id", "arm", F.sha2(F.col("rubric").cast("binary"), 256).alias("digest"))
 
 
+def finalize_report(spark, d):
+    """The report of a finalized delivery: status and dimensions of every task."""
+    dimensions = X.tasks(spark, d).withColumnRenamed("pair_id", "_pair")
+    done = reports.finalize_report(X.criteria(spark, d)).withColumn("_pair", F.expr("task_id div 1000")).join(dimensions, "_pair", "left")
+    return done.select("task_id", "baseline_passrate", "candidate_passrate", "threshold_ok", "status", "task_type", "domain", "language")
+
+
+def validate_report(spark, d):
+    """Issues of a delivery by rule."""
+    issues = reports.validate_report(X.criteria(spark, d), RQ.published(spark, d), vocabulary=spark.createDataFrame([("core",)], "label string"))
+    return issues.groupBy("rule").agg(F.count(F.lit(1)).alias("n_issues"), F.count_distinct("task_id").alias("n_tasks"))
+
+
+def manifest_merge(spark, d):
+    """Suppliers as the tasks of an old manifest, customers as those of a new one: ids that are known stay as they are."""
+    old = X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("task_id"), F.col("s_name").alias("name"))
+    new = X.table(spark, d, "customer").select(F.col("c_custkey").alias("task_id"), F.col("c_name").alias("name"))
+    return tables.merge_manifest(old, new)
+
+
+def collected_stream(spark, d):
+    """Session files as the collecting stream finds them, twice over: each file counts once."""
+    path, out = G._written_logs(spark, d), G._folder(spark, "streamed")
+    for _ in range(2):
+        collect_sessions(spark, path, out, out.rsplit("/", 1)[1])
+    facts = spark.read.parquet(f"{out}/batch=*")
+    return facts.groupBy("session_id").agg(F.sum("line_count").alias("line_count"), F.sum("user_turns").alias("user_turns"))
+
+
 def collected_sessions(spark, d):
     """Events of the sessions that collection accepts, written by arm and read back."""
     accepted = collect_results(spark, d).filter("status IN ('done', 'partial')").select(
@@ -437,6 +467,14 @@ QUERIES = {
     "export_document": (export_document, f"""WITH {X.PAIRS}, s AS ({RQ.QUERIES['batch_summary'][1].split(X.PAIRS, 1)[1]})
         SELECT task_id, baseline_passrate, candidate_passrate, export_ok AS passed, (baseline_over_limit::INT + candidate_under_limit::INT + candidate_not_better::INT + gain_too_small::INT)::INT AS n_violations,
         n_passed, candidate_mean, n_tasks AS task_count FROM records, s"""),
+    "finalize_report": (finalize_report, f"""WITH {RQ._FULL}, r AS (SELECT task_id, max(reason) FILTER (arm = 'baseline') AS rb, max(reason) FILTER (arm = 'candidate') AS rc FROM rated GROUP BY 1)
+        SELECT task_id, baseline_passrate, candidate_passrate, threshold_ok, CASE WHEN rb IN ('missing', 'unscored', 'incomplete') OR rc IN ('missing', 'unscored', 'incomplete') THEN 'failed' WHEN NOT threshold_ok THEN 'partial' ELSE 'done' END AS status,
+          task_type, domain, language FROM records_full JOIN r USING (task_id)"""),
+    "validate_report": (validate_report, f"""WITH {X.PAIRS}{RQ._PUBLISHED}, {RQ._RULES}, every AS (SELECT DISTINCT task_id, reason AS rule FROM rated WHERE reason IS NOT NULL
+        UNION ALL SELECT task_id, rule FROM rules UNION ALL SELECT task_id, rule FROM mismatches UNION ALL SELECT task_id, 'unknown_label' FROM published WHERE label = 'odd')
+        SELECT rule, count(*) AS n_issues, count(DISTINCT task_id) AS n_tasks FROM every GROUP BY 1"""),
+    "manifest_merge": (manifest_merge, "SELECT s_suppkey AS task_id, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)"),
+    "collected_stream": (collected_stream, f"""WITH {G._LOGS} SELECT 's' || session AS session_id, count(*) AS line_count, count(*) FILTER (role = 'user') AS user_turns FROM logs GROUP BY 1"""),
     "rubric_texts": (rubric_texts, f"""WITH {X.CRITERIA}, r AS (SELECT task_id, arm, pos, '[[criterion]]' || chr(10) || 'name = "' || name || '"' || chr(10) || 'description = "' || description || '"' || chr(10) || 'type = "likert"' || chr(10)
           || 'points = 5' || chr(10) || 'weight = ' || weight || chr(10) || 'score = ' || coalesce(score, 0) || chr(10) || 'rationale = "'
           || CASE WHEN pos % 4 = 0 THEN 'say \\"\\\\' || rationale || '\\n\\tend' ELSE rationale END || '"' || chr(10) AS b FROM criteria)
