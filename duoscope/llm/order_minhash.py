@@ -113,6 +113,17 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PACKED = "part int, packed binary, print binary"
 
 
+def _part_of(bounds: np.ndarray):
+    """Part of each id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("doc_id")
+            parts = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), side="right")
+            yield pa.RecordBatch.from_arrays([keys, pa.array(parts, pa.int32())], names=["doc_id", "part"])
+
+    return run
+
+
 def _packed(bounds: np.ndarray | None):
     """Texts and fingerprints as few bytes as possible, for they go through the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,21 +178,17 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     head = F.struct("packed", "print")
     inside = printed.select("*", F.lead(head).over(order).alias("_next"))
     # First document of each part: as many rows as there are parts.
-    part = F.lit(0)
-    if len(bounds):
-        cuts = F.array(*[F.lit(int(b)) for b in bounds])
-        part = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(cuts, lambda c: c <= F.col("doc_id"))))
-    tops = rows.select("doc_id").withColumn("part", part).groupBy("part").agg(F.max("doc_id").alias("doc_id"))
+    tops = rows.select("doc_id").mapInArrow(_part_of(bounds), "doc_id bigint, part int").groupBy("part").agg(F.max("doc_id").alias("doc_id"))
     heads = (
         rows.join(F.broadcast(tops.select(F.col("doc_id").alias("_top"), "part")), F.col("doc_id").eqNullSafe(F.col("_top")))
         .select("part", "_text").mapInArrow(_packed(None), _PACKED)
-        .groupBy("part").agg(F.min(head).alias("x")).select("part", "x.packed", "x.print")
+        .groupBy("part").agg(F.min(head).alias("x")).select("part", F.struct("x.packed", "x.print").alias("_wrap"))
     )
+    # Which part follows which is found on the numbers alone; texts only meet the part before them.
     across = W.orderBy(F.col("part").desc())
     whole = across.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    following = heads.select(
-        "part", F.coalesce(F.lead(head).over(across), F.first(head).over(whole)).alias("_wrap")
-    )
+    follows = tops.select("part", F.coalesce(F.lead("part").over(across), F.first("part").over(whole)).alias("_after"))
+    following = follows.join(heads.withColumnRenamed("part", "_after"), "_after").select("part", "_wrap")
     after = F.coalesce("_next", "_wrap")
     # The window has dealt and sorted its rows by part already, so only the heads move.
     return inside.join(following, "part").select(
