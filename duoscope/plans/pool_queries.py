@@ -130,3 +130,5 @@ QUERIES = {
     "weighted_sample": (weighted_sample, f"WITH {X.POOL}, d AS (SELECT repo, -ln((('0x' || substr(md5('7:' || repo), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) / price AS draw FROM pool WHERE price > 0) SELECT repo, round(draw, 9) AS draw FROM d ORDER BY d.draw, repo LIMIT 50"),
     "next_id": (next_id, "SELECT 'CT-' || lpad((max(c_custkey) + 1)::VARCHAR, greatest(4, length((max(c_custkey) + 1)::VARCHAR))::INT, '0') AS next_id FROM customer"),
 }
+# Their names of the time when a query over a part of the table stood beside them.
+QUERIES |= {f"{n}_all": QUERIES[n] for n in ("merged_pool", "slot_expansion")}
