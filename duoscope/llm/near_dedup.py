@@ -30,8 +30,8 @@ TASK_COMPARISONS = 4_000_000
 #: Comparisons in all that are preferred to a round of pivots.
 FEW_COMPARISONS = 500_000
 PIVOT_ROUNDS = 2
-#: Tasks over which the copies of one text are dealt.
-SALTS = 16
+#: Share of all rows from which on a class of equal sets is dealt out row by row.
+HOT = 1 / 1000
 
 _SIG = [f"s{i}" for i in range(PACKED)]
 SKETCH = "doc bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, " + ", ".join(
@@ -308,10 +308,6 @@ def _all_apart(opened: DataFrame, reps: DataFrame, texts: DataFrame, percent: in
     return other.join(one, same & apart & close).select("a", "b").distinct()
 
 
-def _salted(df: DataFrame) -> DataFrame:
-    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """One row per document: ``key, n_shingles, component_id, kept``.
 
@@ -331,16 +327,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     """
     texts = docs.select(F.col(key).cast("bigint").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sketch = stored(texts.mapInArrow(trimmed(_sketches), SKETCH), "near")
-    classes = (
+    classes = stored(
         sketch.filter("n_shingles > 0 AND doc IS NOT NULL")
         .groupBy("set_hi", "set_lo").agg(F.min("doc").alias("class"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").drop("n")
-    )
-    # A class is one row, and has one for each salt here, so its copies are dealt over several tasks.
-    salt = F.pmod(F.xxhash64("doc", "n_shingles"), F.lit(SALTS)).cast("int")
-    classed = sketch.withColumn("salt", salt).join(_salted(classes), ["set_hi", "set_lo", "salt"], "left").withColumn(
-        "class", F.coalesce("class", "doc")
+        .filter("n > 1"),
+        "near",
     )
+    # There are at most 1 / HOT classes with that share of all rows. Their copies get the class where they are, and are dealt
+    # by themselves from then on.
+    hot = classes.filter(F.col("n") >= max(2, int(sketch.count() * HOT)))
+    marked = sketch.join(F.broadcast(hot.select("set_hi", "set_lo", F.col("class").alias("hot"))), ["set_hi", "set_lo"], "left")
+    others = classes.select(F.col("set_hi").alias("key"), "set_lo", "class")
+    classed = marked.withColumn("key", F.when(F.col("hot").isNotNull(), F.xxhash64("doc")).otherwise(F.col("set_hi"))).join(
+        others, ["key", "set_lo"], "left"
+    ).withColumn("class", F.coalesce("hot", "class", "doc"))
     members = stored(classed.select("doc", "n_shingles", "class"), "near")
     reps = stored(
         classed.filter("doc = class AND n_shingles > 0").select("doc", "n_shingles", "bands", *_SIG)
@@ -404,8 +404,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         found = not links.isEmpty()
         tried = stored(tried.union(fresh), "near")
 
-    root = F.coalesce("root", "class")
-    final = members.withColumn("salt", salt).join(_salted(labels.withColumnRenamed("node", "class")), ["class", "salt"], "left")
+    known = hot.select("class").join(labels.withColumnRenamed("node", "class"), "class", "left").select(
+        "class", F.coalesce("root", "class").alias("hot")
+    )
+    rooted = members.join(F.broadcast(known), "class", "left")
+    final = rooted.withColumn("node", F.when(F.col("hot").isNotNull(), F.xxhash64("doc")).otherwise(F.col("class"))).join(labels, "node", "left")
+    root = F.coalesce("hot", "root", "class")
     return final.select(
         F.col("doc").alias(key), "n_shingles", root.alias("component_id"),
         F.coalesce(F.col("doc") == root, F.lit(True)).alias("kept"),
