@@ -107,9 +107,9 @@ class SortedFiles:
             self._open.popitem(last=False)
         return found
 
-    def find(self, codes: np.ndarray, columns: dict[str, type]) -> list[np.ndarray]:
-        """Values of each code, by column; 0 where a code is not filed."""
-        wanted, back = np.unique(codes, return_inverse=True)
+    def find(self, codes: np.ndarray, columns: dict[str, type], distinct: bool = False) -> list[np.ndarray]:
+        """Values of each code, by column; 0 where a code is not filed. ``distinct``: codes are sorted and come once."""
+        wanted, back = (codes, slice(None)) if distinct else np.unique(codes, return_inverse=True)
         out = [np.zeros(len(wanted), t) for t in columns.values()]
         which = np.searchsorted(self.firsts, wanted, side="right") - 1
         edges = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(which)]

@@ -112,29 +112,41 @@ class Tree:
         k = len(self.levels) + 1
         found = list(self.contexts(of, words, [v.hot for v in self.levels] + [hot]))
         at, context, below, code = found[-1]
-        signed = context.view(np.int64)
-        seen = self.words if k == 1 else self.levels[-1].counts
-        live = seen.find(signed, {"n": np.int64})[0] >= self.least_seen
-        if k > 1:
-            parent = np.zeros(len(words), bool)
-            p_at, p_context, _, _ = found[-2]
-            parent[p_at] = self.levels[-1].states.find(p_context.view(np.int64), {"rest": np.float64})[0] > 0
-            live &= parent[at]
+        # A context of one word is the word before, so it is looked up once per different word.
+        distinct, back = np.unique(words.view(np.int64), return_inverse=True)
+        if k == 1:
+            live = self.words.find(distinct, {"n": np.int64}, True)[0][back[at - 1]] >= self.least_seen
+        else:
+            if k == 2:
+                parent = self.levels[-1].states.find(distinct, {"rest": np.float64}, True)[0][back[at - 1]] > 0
+            else:
+                is_state = np.zeros(len(words), bool)
+                p_at, p_context, _, _ = found[-2]
+                is_state[p_at] = self.levels[-1].states.find(p_context.view(np.int64), {"rest": np.float64})[0] > 0
+                parent = is_state[at]
+            live = np.zeros(len(at), bool)
+            live[parent] = self.levels[-1].counts.find(context[parent].view(np.int64), {"n": np.int64})[0] >= self.least_seen
         return at[live], context[live], below[live], code[live]
 
     def probabilities(self, of: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each token occurs in the training tokens, and its probability in its longest state."""
-        seen = self.words.find(words.view(np.int64), {"n": np.int64})[0]
-        out = self.root(seen)
+        distinct, back = np.unique(words.view(np.int64), return_inverse=True)
+        seen = self.words.find(distinct, {"n": np.int64}, True)[0]
+        out, seen = self.root(seen)[back], seen[back]
         open_ = np.ones(len(words), bool)
-        for level, (at, context, _, code) in zip(self.levels, self.contexts(of, words, [v.hot for v in self.levels])):
-            state = np.zeros(len(words), bool)
-            rest = level.states.find(context.view(np.int64), {"rest": np.float64})[0]
-            state[at] = (rest > 0) & open_[at]
-            mine = state[at]
+        for k, (level, (at, context, _, code)) in enumerate(zip(self.levels, self.contexts(of, words, [v.hot for v in self.levels]))):
+            # Only below a state there are longer ones.
+            some = open_[at]
+            rest = np.zeros(len(at))
+            if k == 0:
+                rest = level.states.find(distinct, {"rest": np.float64}, True)[0][back[at - 1]]
+            else:
+                rest[some] = level.states.find(context[some].view(np.int64), {"rest": np.float64})[0]
+            mine = rest > 0
             p = level.likely.find(code[mine].view(np.int64), {"p": np.float64})[0]
             out[at[mine]] = np.where(p > 0, p, rest[mine] * out[at[mine]])
-            open_ = state
+            open_ = np.zeros(len(words), bool)
+            open_[at[mine]] = True
         return seen, out
 
 
