@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +29,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, however often ``use`` names it and wherever a filter on the result is moved."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def is_kind(variant: Column, kind: str) -> Column:
     """True when a VARIANT holds an ``OBJECT``, ``ARRAY`` or ``STRING``."""
     if kind == "ARRAY":
@@ -70,42 +75,63 @@ def head_tail(text: Column, budget: int, head_share: float = 0.3, marker: str =
 FENCE = "```"
 
 
+def without_meta(raw: Column) -> Column:
+    """A stripped answer without the meta lines at its start, which go in one possessive match."""
+    # The prefix is a pattern; at the start of a text it is the literal below.
+    literal = META_PREFIX.replace("\\", "")
+    return bound(strip(raw), lambda t: F.when(F.startswith(t, F.lit(literal)), F.regexp_replace(t, rf"\A(?>(?:{META_PREFIX}[^\n]*+\n\s*+)++)", "")).otherwise(t))
+
+
+def _unfenced(body: Column) -> Column:
+    """What follows the first line of a text, without a fence at its end."""
+    at_end = bound(strip(body), lambda t: F.when(F.right(t, F.lit(3)) == FENCE, strip(F.left(t, F.length(t) - 3))).otherwise(body))
+
+    def rest(text: Column) -> Column:
+        return bound(F.instr(text, "\n"), lambda at: F.when(at > 0, F.substring(text, at + 1, F.length(text))).otherwise(F.lit("")))
+
+    return bound(at_end, rest)
+
+
+def _fenced_block(body: Column) -> Column:
+    """Content of the first closed fence that has no language or ``toml``; null when there is none."""
+
+    def content(inner: Column) -> Column:
+        return bound(F.substring_index(inner, "\n", 1), lambda line: F.when(
+            F.contains(inner, F.lit("\n")) & strip(line).isin("", "toml"), strip(F.substring(inner, F.length(line) + 2, F.length(inner)))))
+
+    return bound(F.split(body, FENCE, 3), lambda parts: F.when(F.size(parts) == 3, bound(F.get(parts, F.lit(1)), content)))
+
+
 def clean_output(raw: Column) -> Column:
     """Drop meta lines, leading headings and code fences around an answer.
 
     Leading lines go in one possessive match each, which needs no stack however
-    many there are.
+    many there are. Each step is evaluated once per text, and only on texts that have
+    what it drops.
     """
-    body = strip(raw)
-    body = F.regexp_replace(body, rf"\A(?>(?:{META_PREFIX}[^\n]*+\n\s*+)++)", "")
-    body = F.regexp_replace(body, r"\A(?>(?:# [^\n]*+\n\s*+)++)", "")
-    at_end = F.when(F.right(strip(body), F.lit(3)) == FENCE, strip(F.left(strip(body), F.length(strip(body)) - 3))).otherwise(body)
-    opened = F.instr(at_end, "\n")
-    unfenced = F.when(opened > 0, F.substring(at_end, opened + 1, F.length(at_end))).otherwise(F.lit(""))
-    parts = F.split(body, FENCE, 3)
-    inner = F.get(parts, F.lit(1))
-    first_line = F.substring_index(inner, "\n", 1)
-    content = F.substring(inner, F.length(first_line) + 2, F.length(inner))
-    has_block = (F.size(parts) == 3) & F.contains(inner, F.lit("\n")) & strip(first_line).isin("", "toml")
-    return F.when(F.startswith(body, F.lit(FENCE)), unfenced).when(has_block, strip(content)).otherwise(body)
+    headless = bound(without_meta(raw), lambda t: F.when(F.startswith(t, F.lit("# ")), F.regexp_replace(t, r"\A(?>(?:# [^\n]*+\n\s*+)++)", "")).otherwise(t))
+    return bound(headless, lambda body: F.when(F.startswith(body, F.lit(FENCE)), _unfenced(body)).when(
+        F.contains(body, F.lit(FENCE)), F.coalesce(_fenced_block(body), body)).otherwise(body))
 
 
-def _find(text: Column, needle: str) -> Column:
-    return F.instr(F.lower(text), needle.lower())
+def _marked(body: Column, markers: Sequence[str], use: Callable[[Column], Column]) -> Column:
+    """First that is not null of ``use(place)``, over the places of the markers in a text, in any case; 0 is nowhere."""
+    return bound(F.lower(body), lambda low: F.coalesce(*[bound(F.instr(low, m.lower()), use) for m in markers]))
 
 
 def toml_section(raw: Column, markers: Sequence[str] = C.BAD_PATTERN_MARKERS) -> Column:
     """The rubric part of an answer, without the trailing pattern section."""
-    body = clean_output(raw)
-    cut = None
-    for marker in markers:
-        at = _find(body, marker)
-        part = strip(F.left(body, at - 1))
-        cut = F.when(at > 1, part) if cut is None else cut.when(at > 1, part)
-    body = cut.otherwise(body)
-    start = F.instr(body, "[[criterion]]")
-    has_preface = ~strip(body).startswith("[[") & (start > 0)
-    return F.when(has_preface, F.substring(body, start, F.length(body))).otherwise(body)
+
+    def without_section(body: Column) -> Column:
+        return F.coalesce(_marked(body, markers, lambda at: F.when(at > 1, strip(F.left(body, at - 1)))), body)
+
+    def without_preface(body: Column) -> Column:
+        def rest(start: Column) -> Column:
+            return F.when((start > 0) & ~strip(body).startswith("[["), F.substring(body, start, F.length(body))).otherwise(body)
+
+        return bound(F.instr(body, "[[criterion]]"), rest)
+
+    return bound(bound(clean_output(raw), without_section), without_preface)
 
 
 def bad_pattern_label(
@@ -120,19 +146,15 @@ def bad_pattern_label(
     A "none" word counts only in the section's first ``none_within`` characters (the rule
     of the label format); patterns are looked for in the whole section.
     """
-    body = clean_output(raw)
-    section = F.coalesce(
-        *[
-            F.when(_find(body, m) > 0, F.substring(body, _find(body, m), F.length(body)))
-            for m in markers
-        ]
-    )
-    head = F.left(section, F.lit(none_within))
-    none_said = F.exists(F.array(*[F.lit(w) for w in none_words]), lambda w: F.contains(head, w))
-    hits = F.filter(F.array(*[F.lit(p) for p in patterns]), lambda p: F.contains(section, p))
-    return F.when(section.isNull() | none_said, F.lit("")).otherwise(
-        F.coalesce(F.get(hits, F.lit(0)), F.lit(""))
-    )
+
+    def section(body: Column) -> Column:
+        return _marked(body, markers, lambda at: F.when(at > 0, F.substring(body, at, F.length(body))))
+
+    def label(part: Column) -> Column:
+        none_said = bound(F.left(part, F.lit(none_within)), lambda head: F.exists(F.array(*[F.lit(w) for w in none_words]), lambda w: F.contains(head, w)))
+        return F.when(part.isNull() | none_said, F.lit("")).otherwise(F.coalesce(*[F.when(F.contains(part, F.lit(p)), F.lit(p)) for p in patterns], F.lit("")))
+
+    return bound(bound(clean_output(raw), section), label)
 
 
 def has_score_tiers(description: Column) -> Column:

@@ -107,6 +107,25 @@ def test_cleaned_output(spark, raw, want):
     assert spark.createDataFrame([(raw,)], "r string").select(text.clean_output(F.col("r"))).first()[0] == want
 
 
+def test_pattern_labels(spark):
+    cases = [
+        ("x BAD pattern: q2 then q1", "q1"), ("bad pattern: none, q1", ""), ("bad pattern: " + "-" * 120 + " none q2", "q2"), ("q1 and q2", ""), (None, ""), ("", ""),
+        ("bad pattern: q3", ""), ("[__claude_meta: q1]\n# bad pattern: q2\nbad pattern: q1", "q1"), ("```\nbad pattern: q2\n```", "q2"),
+        ("bad pattern: q1 ```toml\nx = 1\n``` end", ""), ("bad pattern: q1 ```sql\nx = 1\n``` end", "q1"), ("bad pattern: q1 ``` q2", "q1"),
+    ]
+    label = text.bad_pattern_label(F.col("r"), ("q1", "q2"), ("no such", "Bad Pattern"), ("none",))
+    df = spark.createDataFrame([(i, raw) for i, (raw, _) in enumerate(cases)], "i int, r string")
+    assert [r.v for r in df.select("i", label.alias("v")).orderBy("i").collect()] == [want for _, want in cases]
+
+
+def test_texts_are_cleaned_once(spark):
+    df = spark.createDataFrame([("x",)], "r string").repartition(2)
+    for out in (text.bad_pattern_label(F.col("r")), text.toml_section(F.col("r"))):
+        plan = df.select(out.alias("v")).filter("v <> 'y'")._jdf.queryExecution().optimizedPlan().toString()
+        # The result and the filter on it.
+        assert 0 < plan.count("regexp_replace") <= 4 and 0 < plan.count("lower(") <= 2
+
+
 def test_hot_key_is_split_and_numbered(spark):
     r = random.Random(1)
     rows = [("hot", r.getrandbits(62), i) for i in range(3000)] + [(None, 5, 3000), (None, 5, 3001)] + [(f"k{i}", i, i) for i in range(50)]
