@@ -8,32 +8,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.functions.checks import valid_criterion_name
-from duoscope.functions.text import META_PREFIX, has_score_tiers, is_kind, strip
+from duoscope.functions.text import bound, has_score_tiers, is_kind, without_meta
 from duoscope.settings import ARMS, LIMITS, Arms, Limits
 
 # What an idea must name, and the least number of follow-ups of each arm.
 IDEA_KEYS = ("task_title", "task_description")
 LEAST_FOLLOWUPS = (2, 3)
 
+# Fixed value: what the text of a JSON value can begin with.
+JSON_STARTS = tuple('{["-0123456789tfn')
+
 
 def _strict(body: Column) -> Column:
-    """The VARIANT of a text that is one JSON value; the parser by itself passes over what follows the value."""
+    """The VARIANT of a stripped text that is one JSON value; the parser by itself passes over what follows the value.
+
+    Only texts that can be JSON by their first character are parsed: a failed parse costs far more than a short one.
+    """
     parts = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(parts) == 1, F.get(parts, F.lit(0)))
+    return F.when(F.left(body, F.lit(1)).isin(*JSON_STARTS), bound(parts, lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0)))))
+
+
+def _between(body: Column, opening: str, closing: str) -> Column:
+    """Text from the first opening mark to the last closing one, found without backtracking."""
+    places = F.struct(F.instr(body, opening).alias("first"), (F.length(body) - F.instr(F.reverse(body), closing) + 1).alias("last"))
+    return bound(places, lambda at: F.when(
+        (at["first"] > 0) & (at["last"] > at["first"]), F.substring(body, at["first"], at["last"] - at["first"] + 1)))
+
+
+def _salvaged(raw: Column, *marks: str) -> Column:
+    """The VARIANT of an answer: the whole without meta lines, else the first part between a pair of marks that is JSON."""
+    return bound(without_meta(raw), lambda body: F.coalesce(_strict(body), *[bound(_between(body, *m), _strict) for m in marks]))
 
 
 def answer_json(raw: Column, as_list: bool = False) -> Column:
     """The VARIANT of an answer: the whole without meta lines, else from the first brace (or bracket) to the last."""
-    body = F.regexp_replace(strip(raw), rf"\A(?>(?:{META_PREFIX}[^\n]*+\n\s*+)++)", "")
-    # Greedy from the first to the last mark, found without backtracking.
-    first, last = F.instr(body, "[" if as_list else "{"), F.length(body) - F.instr(F.reverse(body), "]" if as_list else "}") + 1
-    inner = F.when((first > 0) & (last > first), F.substring(body, first, last - first + 1))
-    return F.coalesce(_strict(body), _strict(inner))
+    return _salvaged(raw, "[]" if as_list else "{}")
 
 
-def _has(v: Column, *keys: str) -> Column:
-    entries = F.try_variant_get(v, "$", "map<string,variant>")
-    out = is_kind(v, "OBJECT")
+def _entries(v: Column) -> Column:
+    """Keys and values of an object; null for other kinds."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def _has(entries: Column, *keys: str) -> Column:
+    out = entries.isNotNull()
     for k in keys:
         out = out & F.coalesce(F.map_contains_key(entries, k), F.lit(False))
     return out
@@ -52,18 +70,26 @@ def salvaged_ideas(answers: DataFrame, raw: str = "raw", keys: Sequence[str] = I
     An idea is an object with all ``keys``. An answer without any is rejected: ``unreadable``, ``wrong_kind``
     or ``no_idea``. Null answers are unreadable; every answer stays a row.
     """
-    v = F.col("_v")
-    listed = F.try_variant_get(v, "$", "array<variant>")
-    each = F.when(is_kind(v, "ARRAY"), listed).when(is_kind(v, "OBJECT"), F.array(v))
-    ideas = F.filter(each, lambda x: _has(x, *keys))
-    parsed = F.coalesce(answer_json(F.col(raw)), answer_json(F.col(raw), as_list=True))
-    error = _first([("unreadable", v.isNull()), ("wrong_kind", each.isNull()), ("no_idea", F.size(ideas) == 0)])
-    return answers.withColumn("_v", parsed).withColumns({"error": error, "ideas": F.when(error.isNull(), ideas)}).drop("_v")
+
+    def facts(v: Column) -> Column:
+        each = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(is_kind(v, "OBJECT"), F.array(v)))
+        ideas = lambda e: F.filter(e, lambda x: bound(_entries(x), lambda m: _has(m, *keys)))
+
+        def judged(found: Column) -> Column:
+            error = _first([("unreadable", v.isNull()), ("wrong_kind", found.isNull()), ("no_idea", F.size(found) == 0)])
+            return F.struct(error.alias("error"), F.when(F.size(found) > 0, found).alias("ideas"))
+
+        return bound(bound(each, ideas), judged)
+
+    out = answers.withColumn("_s", bound(_salvaged(F.col(raw), "{}", "[]"), facts))
+    return out.withColumns({c: F.col(f"_s.{c}") for c in ("error", "ideas")}).drop("_s")
 
 
 def idea_rows(salvaged: DataFrame, key: str) -> DataFrame:
     """One row per idea: ``key, n`` (place in the answer, from 1), ``title, description``."""
-    rows = salvaged.filter("error IS NULL").select(key, F.posexplode("ideas").alias("n", "v"))
+    # A filter, or a bare column to unfold, would move below the parsing and parse each answer once more.
+    ideas = F.when(F.col("error").isNull(), F.col("ideas"))
+    rows = salvaged.select(key, F.posexplode(ideas).alias("n", "v"))
     get = lambda k: F.try_variant_get("v", f"$.{k}", "string")
     return rows.select(key, (F.col("n") + 1).alias("n"), get(IDEA_KEYS[0]).alias("title"), get(IDEA_KEYS[1]).alias("description"))
 
@@ -75,25 +101,31 @@ def salvaged_tasks(answers: DataFrame, raw: str = "raw", arms: Arms = ARMS, leas
     the least lengths. ``error`` is the first of ``unreadable``, ``not_an_object``, ``no_prompt``, ``keys_missing``,
     ``followups_not_a_list``, ``too_few_followups``; then the other columns are null. Every answer stays a row.
     """
-    v = F.col("_v")
     names = [arms.baseline_provider, arms.candidate_provider]
     follow = [f"followups_{n}" for n in names]
-    new, old = _has(v, "prompt"), _has(v, f"prompt_{names[0]}")
-    lists = [F.try_variant_get(v, f"$.{f}", "array<variant>") for f in follow]
-    are_lists = [is_kind(F.try_variant_get(v, f"$.{f}", "variant"), "ARRAY") for f in follow]
-    error = _first([
-        ("unreadable", v.isNull()), ("not_an_object", ~is_kind(v, "OBJECT")), ("no_prompt", ~(new | old)),
-        ("keys_missing", ~_has(v, *follow) | (~new & ~_has(v, f"prompt_{names[1]}"))),
-        ("followups_not_a_list", ~(are_lists[0] & are_lists[1])),
-        ("too_few_followups", (F.size(lists[0]) < least[0]) | (F.size(lists[1]) < least[1])),
-    ])
-    prompt = F.when(new, F.try_variant_get(v, "$.prompt", "string")).otherwise(F.try_variant_get(v, f"$.prompt_{names[0]}", "string"))
-    good = F.col("error").isNull()
-    texts = [F.transform(x, lambda e: F.try_variant_get(e, "$", "string")) for x in lists]
-    return answers.withColumn("_v", answer_json(F.col(raw))).withColumn("error", error).withColumns({
-        "prompt": F.when(good, prompt), f"{arms.baseline}_followups": F.when(good, texts[0]), f"{arms.candidate}_followups": F.when(good, texts[1]),
-        "is_legacy": F.when(good, ~new),
-    }).drop("_v")
+
+    def judged(v: Column, entries: Column, lists: Sequence[Column]) -> Column:
+        new, old = _has(entries, "prompt"), _has(entries, f"prompt_{names[0]}")
+        error = _first([
+            ("unreadable", v.isNull()), ("not_an_object", entries.isNull()), ("no_prompt", ~(new | old)),
+            ("keys_missing", ~_has(entries, *follow) | (~new & ~_has(entries, f"prompt_{names[1]}"))),
+            ("followups_not_a_list", lists[0].isNull() | lists[1].isNull()),
+            ("too_few_followups", (F.size(lists[0]) < least[0]) | (F.size(lists[1]) < least[1])),
+        ])
+        prompt = F.when(new, F.try_variant_get(v, "$.prompt", "string")).otherwise(F.try_variant_get(v, f"$.prompt_{names[0]}", "string"))
+        texts = [F.transform(x, lambda e: F.try_variant_get(e, "$", "string")) for x in lists]
+        return bound(error, lambda e: F.struct(
+            e.alias("error"), F.when(e.isNull(), prompt).alias("prompt"), F.when(e.isNull(), texts[0]).alias(f"{arms.baseline}_followups"),
+            F.when(e.isNull(), texts[1]).alias(f"{arms.candidate}_followups"), F.when(e.isNull(), ~new).alias("is_legacy"),
+        ))
+
+    def facts(v: Column) -> Column:
+        lists = F.struct(*[F.try_variant_get(v, f"$.{f}", "array<variant>").alias(f"_{i}") for i, f in enumerate(follow)])
+        return bound(_entries(v), lambda entries: bound(lists, lambda x: judged(v, entries, [x["_0"], x["_1"]])))
+
+    columns = ["error", "prompt", f"{arms.baseline}_followups", f"{arms.candidate}_followups", "is_legacy"]
+    out = answers.withColumn("_s", bound(answer_json(F.col(raw)), facts))
+    return out.withColumns({c: F.col("_s")[c] for c in columns}).drop("_s")
 
 
 def with_template(rows: DataFrame, template: DataFrame, keys: Sequence[str]) -> DataFrame:

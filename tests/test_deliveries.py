@@ -75,6 +75,19 @@ def test_salvaged_ideas(spark):
     assert sorted((r.a, r.n, r.title) for r in answers.idea_rows(out, "a").collect()) == [(0, 1, "t"), (1, 1, "t")]
 
 
+def test_answers_are_parsed_once(spark):
+    good = '{"task_title":"t","task_description":"d"}'
+    raws = [f"Ideas: [{good}, {good}, {{}}] end", "t [1]", "-1", '"s"', "null", "Infinity", "", f"{good}, {good}", f"[__claude_meta: x]\n[{good}]", f"x [__claude_meta: y]\n{good}"]
+    out = answers.salvaged_ideas(spark.createDataFrame(list(enumerate(raws)), "a int, raw string"))
+    assert [(r.error, r.n) for r in out.selectExpr("a", "error", "size(ideas) AS n").orderBy("a").collect()] == [
+        (None, 2), ("no_idea", None), ("wrong_kind", None), ("wrong_kind", None), ("wrong_kind", None),
+        ("unreadable", None), ("unreadable", None), ("unreadable", None), (None, 1), (None, 1)]
+    parses = lambda df: df._jdf.queryExecution().executedPlan().toString().count("parseJson")
+    # The whole, its part in braces and its part in brackets; a filter on the error looks at them once more.
+    assert parses(answers.idea_rows(out, "a")) == 3 and parses(out.filter("error IS NOT NULL")) <= 6
+    assert parses(answers.salvaged_tasks(out.select("a", "raw")).filter("error IS NULL")) <= 4
+
+
 def test_scores_of_any_size_are_paired(spark):
     rows = [(1, a, p, "n", s, "d") for a, p, s in (("baseline", 1, 3), ("baseline", 2, 9), ("candidate", 1, -20), ("candidate", 0, 5))]
     got = pairs.pair_criteria(spark.createDataFrame(rows, "task_id int, arm string, pos int, name string, score int, description string")).first()
